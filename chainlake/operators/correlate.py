@@ -27,24 +27,25 @@ def suppress_duplicates(
     arrivals: DataFrame,
     started: DataFrame | None = None,
     by_content: bool = False,
+    tie: tuple[str, ...] = (),
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """`arrivals` (path, arrived_at, ...) plus `chave` and `duplicado`; a duplicate is reported, not an error.
 
-    The first arrival of a key (by time, then path) starts a run, unless the key is among `started`. Exact
-    copies of the first arrival that share its time and path cannot be told apart: all carry its flag.
+    The first arrival of a key starts a run, unless the key is among `started`. First is by time, then path,
+    then the `tie` columns, such as a delivery id: rows equal in all of these cannot be told apart and carry
+    the same flag.
     """
     keyed = keyed_arrivals(arrivals, by_content)
-    first = keyed.groupBy("chave").agg(
-        F.min(F.struct("arrived_at", "path")).alias("first"), F.count("*").alias("arrivals")
-    )
+    place = F.struct("arrived_at", "path", *tie)
+    first = keyed.groupBy("chave").agg(F.min(place).alias("first"), F.count("*").alias("arrivals"))
     if started is not None:
         known = started.select("chave").distinct().withColumn("known", F.lit(True))
         first = first.join(known, "chave", "left")
     else:
         first = first.withColumn("known", F.lit(None).cast("boolean"))
     marked = attach(keyed, first, "chave", "arrivals", hot_rows)
-    later = F.struct("arrived_at", "path") != F.col("first")
+    later = place != F.col("first")
     return marked.withColumn("duplicado", later | F.coalesce("known", F.lit(False))).drop(
         "first", "arrivals", "known"
     )

@@ -118,8 +118,9 @@ def evaluate(
     before they shuffle, so neither a frequent value nor a large file lands in one task. Every further
     uniqueness column costs one more narrow aggregate.
 
-    `by` gives outcomes per group, e.g. per source file. `layouts` gives the header of each file, for column
-    rules on files whose layouts differ; without it the DataFrame's own columns decide.
+    `by` gives outcomes per group, e.g. per source file. `layouts` (arquivo_origem, colunas) gives the header
+    of each file, so that column rules go by the file's own columns and a file without rows is judged too;
+    without it the DataFrame's columns decide.
     """
     there = set(df.columns)
     usable = [r for r in rules if isinstance(r, RowCount) or r.column in there]
@@ -165,7 +166,9 @@ def _outcomes(
 ) -> DataFrame:
     headers = F.lit(None)
     if layouts is not None and groups:
-        counts = counts.join(layouts.withColumnRenamed("arquivo_origem", groups[0]), groups[0], "left")
+        # From the headers' side, so that a file without rows is judged too.
+        files = layouts.select(F.col("arquivo_origem").alias(groups[0]), "colunas")
+        counts = files.join(counts, groups[0], "left").na.fill(0)
         headers = F.col("colunas")
 
     def row(i: int, rule: Rule) -> Column:

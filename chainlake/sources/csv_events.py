@@ -12,6 +12,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow as pa
@@ -24,6 +25,7 @@ from chainlake.functions.text import decoded_name
 
 BROKEN = "_record"
 SLOT = "_c"
+MARK = -1
 
 
 @dataclass(frozen=True)
@@ -47,8 +49,8 @@ def csv_options(reader, width: int):
 
 
 def records(scan: DataFrame) -> DataFrame:
-    """Add the file a raw record came from."""
-    return scan.select(decoded_name(F.col("_metadata.file_name")).alias("arquivo_origem"), "*")
+    """Add the file a raw record came from, as Spark writes it: a path, URL-encoded."""
+    return scan.select(F.input_file_name().alias("path"), "*")
 
 
 def header_names(cells: Iterable[str | None]) -> list[str]:
@@ -99,47 +101,60 @@ def _runs(names: pa.Array) -> Iterator[tuple[str, int, int]]:
         start = stop
 
 
-def _by_own_header(columns: tuple[str, ...], width: int) -> Callable:
+def _header_of(record: dict, path: str, width: int) -> list[str]:
+    """Names in a file's first record; a record that does not fit the scan is taken apart again."""
+    cells = [record[f"{SLOT}{i}"] for i in range(width)]
+    if record[BROKEN] is not None:
+        cells = next(csv.reader([record[BROKEN]]), [])
+    if len(cells) > width:
+        raise ValueError(f"{path}: header has {len(cells)} columns, the scan was given {width}")
+    return header_names(cells)
+
+
+def _by_own_header(columns: tuple[str, ...], width: int, marks: bool) -> Callable:
     """Arrow step: consume each file's header record, then emit its rows under `columns`."""
 
+    def numbered(values: list[pa.Array], name: str, first: int) -> pa.RecordBatch:
+        rows = len(values[0])
+        index = pa.array(range(first, first + rows), pa.int64())
+        fields = [*columns, "arquivo_origem", "line_number"]
+        return pa.RecordBatch.from_arrays([*values, pa.repeat(name, rows), index], names=fields)
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, places, seen = None, {}, 0
+        file, name, places, seen = None, "", {}, 0
         for batch in batches:
-            for name, start, stop in _runs(batch.column(0)):
+            for path, start, stop in _runs(batch.column(0)):
                 part = batch.slice(start, stop - start)
-                if name != file:
-                    file, seen = name, 0
-                    head = part.slice(0, 1).to_pylist()[0]
-                    cells = [head[f"{SLOT}{i}"] for i in range(width)]
-                    if head[BROKEN] is not None:
-                        cells = next(csv.reader([head[BROKEN]]), [])
-                    if len(cells) > width:
-                        raise ValueError(f"{file}: header has {len(cells)} columns, scan was given {width}")
-                    places = {n: i for i, n in enumerate(header_names(cells))}
+                if path != file:
+                    header = _header_of(part.slice(0, 1).to_pylist()[0], path, width)
+                    places = {column: i + 1 for i, column in enumerate(header)}
+                    file, name, seen = path, unquote(path.rsplit("/", 1)[-1]), 0
                     part = part.slice(1)
+                    if marks:
+                        yield numbered([pa.array([c if c in places else ""]) for c in columns], name, MARK)
                 rows = part.num_rows
-                if rows == 0:
-                    continue
-                empty = pa.array([""], pa.string()).take(pa.array([0] * rows, pa.int8()))
-                values = [
-                    pc.fill_null(part.column(places[c] + 1), "") if c in places else empty for c in columns
-                ]
-                count = pa.array(range(seen, seen + rows), pa.int64())
-                seen += rows
-                yield pa.RecordBatch.from_arrays(
-                    [*values, part.column(0), count], names=[*columns, "arquivo_origem", "line_number"]
-                )
+                if rows:
+                    values = [
+                        pc.fill_null(part.column(places[c]), "") if c in places else pa.repeat("", rows)
+                        for c in columns
+                    ]
+                    yield numbered(values, name, seen)
+                    seen += rows
 
     return step
 
 
-def aligned(raw: DataFrame, columns: tuple[str, ...], width: int) -> DataFrame:
-    """Raw records -> rows under `columns`, with `arquivo_origem` and the 0-based `line_number`."""
+def aligned(raw: DataFrame, columns: tuple[str, ...], width: int, marks: bool = False) -> DataFrame:
+    """Raw records -> rows under `columns`, with `arquivo_origem` and the 0-based `line_number`.
+
+    With `marks`, each file also yields one row numbered MARK that holds the names of the columns it has,
+    so that a file without data rows is seen too.
+    """
     fields = [T.StructField(c, T.StringType()) for c in columns]
     schema = T.StructType(
         [*fields, T.StructField("arquivo_origem", T.StringType()), T.StructField("line_number", T.LongType())]
     )
-    return raw.mapInArrow(_by_own_header(columns, width), schema)
+    return raw.mapInArrow(_by_own_header(columns, width, marks), schema)
 
 
 def with_ingest_time(df: DataFrame) -> DataFrame:

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chainlake.contract import CONTROL, Contract
+from chainlake.contract import CONTROL, PROVENANCE, Contract
 from chainlake.operators.correlate import correlate
 from chainlake.operators.quality import evaluate, ruleset
 from chainlake.operators.volume import volume_verdict
 from chainlake.sources.bronze import write_bronze
 from chainlake.sources.control import append_control, read_control, rule_records, volume_records
-from chainlake.sources.csv_events import Layout, aligned, csv_options, records, with_ingest_time
+from chainlake.sources.csv_events import MARK, Layout, aligned, csv_options, records, with_ingest_time
 
 log = logging.getLogger(__name__)
 
@@ -25,14 +25,14 @@ log = logging.getLogger(__name__)
 def stream_events(
     spark: SparkSession, path: str, layout: Layout, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Bronze rows of the files that arrive below `path`.
+    """Bronze rows of the files that arrive below `path`, and one MARK row per file.
 
     Line numbers are counted inside the scan's task, so no window is needed, which a stream would refuse.
     """
     reader = csv_options(spark.readStream, layout.width)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return with_ingest_time(aligned(records(reader.csv(path)), layout.columns, layout.width))
+    return with_ingest_time(aligned(records(reader.csv(path)), layout.columns, layout.width, marks=True))
 
 
 def process_batch(
@@ -49,7 +49,7 @@ def process_batch(
     def step(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            write_bronze(batch, bronze_path)
+            write_bronze(batch.where(F.col("line_number") != MARK), bronze_path)
             if control_path is not None:
                 try:
                     append_control(check_records(batch, batch_id, contract, control_path, clock()), control_path)
@@ -74,13 +74,17 @@ def check_records(
         control = read_control(spark, control_path)
     except Exception:  # first batch: no log yet
         control = spark.createDataFrame([], CONTROL)
-    counts = batch.groupBy("arquivo_origem").agg(F.count("*").alias("linhas"))
+    rows = batch.where(F.col("line_number") != MARK)
+    columns = [c for c in batch.columns if c not in PROVENANCE]
+    there = F.array_compact(F.array(*(F.nullif(F.col(f"`{c}`"), F.lit("")) for c in columns)))
+    layouts = batch.where(F.col("line_number") == MARK).select("arquivo_origem", there.alias("colunas"))
+    counts = batch.groupBy("arquivo_origem").agg((F.count("*") - 1).alias("linhas"))
     named = counts.withColumn("csv", F.concat(F.lit(contract.raw_prefix), "arquivo_origem"))
     own = F.md5(F.concat_ws("|", "csv", F.lit(batch_id)))
     files = correlate(named, control, contract.start_stage).withColumn(
         "execution_id", F.coalesce("execution_id", own)
     )
-    outcomes = evaluate(batch, ruleset(contract), by="arquivo_origem").join(
+    outcomes = evaluate(rows, ruleset(contract), by="arquivo_origem", layouts=layouts).join(
         files.select("arquivo_origem", "execution_id"), "arquivo_origem"
     )
     verdicts = volume_verdict(files, control, as_of, contract)

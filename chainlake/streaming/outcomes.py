@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chainlake.contract import Contract
-from chainlake.functions.dates import iso_text, partition_day
 from chainlake.functions.status import is_terminal
 from chainlake.operators.correlate import enrich_outcome, keyed_arrivals
-from chainlake.sources.control import outcome_records
+from chainlake.sources.control import append_control, outcome_records
 
 
 def first_arrivals(arrivals: DataFrame, horizon: str = "7 days", by_content: bool = False) -> DataFrame:
@@ -25,16 +24,17 @@ def outcome_stream(events: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def record_outcomes(events: DataFrame, runs: DataFrame, control_path: str, checkpoint: str) -> StreamingQuery:
-    """Append every terminal outcome to the control log; `runs` is read anew for each batch."""
-    outcomes = outcome_stream(events, runs)
-    recorded = outcome_records(outcomes).select(
-        iso_text(F.current_timestamp()).alias("timestamp"), "*",
-        partition_day(F.current_timestamp()).alias("dt"),
-    )
+    """Append every terminal outcome to the control log; `runs` is read anew for each batch.
+
+    Not the streaming file sink: its own list of files would hide what batches append to the same log.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        append_control(outcome_records(batch), control_path)
+
     return (
-        recorded.writeStream.format("json")
-        .partitionBy("dt")
-        .option("path", control_path)
+        outcome_stream(events, runs)
+        .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
