@@ -83,9 +83,8 @@ def in_input_order(archives: DataFrame, paths: list[str]) -> DataFrame:
 
 def checked(archives: DataFrame) -> DataFrame:
     """Fail the job at the first archive that does not hold exactly one CSV."""
-    return archives.withColumn(
-        "path", F.when(F.col("problema").isNull(), F.col("path")).otherwise(F.raise_error("problema"))
-    )
+    failure = F.raise_error(F.col("problema")).cast("boolean")
+    return archives.where(F.when(F.col("problema").isNull(), True).otherwise(failure))
 
 
 def unpack_archives(spark: SparkSession, paths: str | list[str], raw_dir: str) -> DataFrame:
