@@ -38,13 +38,15 @@ def tenor_buckets(state: DataFrame, start: str, end: str, edges: tuple[int, ...]
 def concentration(state: DataFrame, party: str, amount: str) -> DataFrame:
     """(party, total, participacao, hhi): each party's share, and the Herfindahl index of all shares.
 
-    The grand totals are scalar subqueries over the per-party sums; an empty-partition window would bring
-    every party into one task.
+    The grand totals are one scalar subquery over the per-party sums; a window over all parties would bring
+    every one of them into one task.
     """
     totals = state.groupBy(party).agg(F.sum(amount).alias("total"))
     value = F.col("total").cast("double")
-    whole = totals.agg(F.sum("total").cast("double")).scalar()
-    squares = totals.agg(F.sum(value * value)).scalar()
+    grand = totals.agg(
+        F.struct(F.sum("total").cast("double").alias("whole"), F.sum(value * value).alias("squares"))
+    ).scalar()
+    whole, squares = grand["whole"], grand["squares"]
     return totals.select(
         party, "total",
         F.try_divide(value, whole).alias("participacao"),

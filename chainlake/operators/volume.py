@@ -149,12 +149,9 @@ def _problems(rows: Column, mean: Column, label: Column, tolerance: float) -> Co
 
 def volume_verdict(counts: DataFrame, control: DataFrame, as_of: datetime | str, contract: Contract) -> DataFrame:
     """`counts` (csv, linhas, ...) plus `problemas`, judged against the history before `as_of`."""
-    chosen = choose_baseline(control, as_of, contract)
-    judged = counts.withColumn("media", chosen.select("media").scalar()).withColumn(
-        "rotulo", chosen.select("rotulo").scalar()
-    )
-    problems = _problems(F.col("linhas"), F.col("media"), F.col("rotulo"), contract.max_drop)
-    return judged.withColumn("problemas", problems).drop("media", "rotulo")
+    chosen = choose_baseline(control, as_of, contract).select(F.struct("media", "rotulo")).scalar()
+    problems = _problems(F.col("linhas"), chosen["media"], chosen["rotulo"], contract.max_drop)
+    return counts.withColumn("problemas", problems)
 
 
 def volume_verdict_by_day(counts: DataFrame, control: DataFrame, contract: Contract) -> DataFrame:

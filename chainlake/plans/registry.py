@@ -816,7 +816,7 @@ def tenor_buckets(spark, sf_dir):
     orders, items = s.table(spark, sf_dir, "orders"), s.table(spark, sf_dir, "lineitem")
     dates = items.join(orders, items.l_orderkey == orders.o_orderkey).select("o_orderdate", "l_shipdate")
     found = gold.tenor_buckets(dates, "o_orderdate", "l_shipdate", (0, 30, 365, 1825))
-    return found.withColumns({c: F.col(c).cast("long") for c in ("faixa", "menor", "maior")})
+    return found.withColumns({c: F.col(c).cast("long") for c in ("menor", "maior")})
 
 
 @query("""
@@ -869,6 +869,27 @@ def stream_checks(spark, sf_dir):
     return read_control(spark, log).groupBy("origem", "regra").agg(F.count("*").alias("registros"))
 
 
+@query(f"""
+SELECT name AS arquivo, stage AS origem, 1 AS execucoes FROM ({ARCHIVE_FILES_SQL}),
+  (VALUES ('{SOURCE.start_stage}'), ('glue_data_quality'), ('quality_check')) v(stage) WHERE file % 3 <> 2""")
+def stream_archives(spark, sf_dir):
+    """Archives unpacked as a stream, their files ingested as a stream, and every step under one execution id."""
+    zips = s.write_csv_files(spark, sf_dir, work_folder(spark, "zip"), as_zip=True)
+    raw, log, target = (work_folder(spark, name) for name in ("raw", "control", "bronze"))
+    offsets, seen = work_folder(spark, "offsets"), work_folder(spark, "unpacked")
+    _finished(ingest.unpack_stream(spark, zips, offsets, SOURCE, raw, log, seen))
+    layout = csv_events.discover_layout(spark, raw)
+    _finished(ingest.ingest_stream(spark, raw, work_folder(spark, "offsets"), SOURCE, layout, target, log))
+    records = read_control(spark, log)
+    unpacked = records.where(F.col("origem") == SOURCE.start_stage)
+    name = base_name(F.col("csv")).alias("arquivo")
+    stages = records.select("execution_id", "origem").distinct()
+    return (
+        unpacked.select(name, "execution_id").join(stages, "execution_id")
+        .groupBy("arquivo", "origem").agg(F.count_distinct("execution_id").cast("int").alias("execucoes"))
+    )
+
+
 def sliced_stream(spark: SparkSession, rows: DataFrame, slices: str, per_trigger: int) -> DataFrame:
     """`rows`, stored as files, as a stream of a few files at a time."""
     rows.write.parquet(slices)

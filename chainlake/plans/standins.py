@@ -6,13 +6,13 @@ next to it says the same for the oracle.
 
 from __future__ import annotations
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlake import contract as names
 from chainlake.contract import Contract
 from chainlake.functions.dates import iso_text
+from chainlake.sources.store import open_store
 
 SOURCE = Contract(name="swaps")
 
@@ -276,7 +276,7 @@ def _csv_bytes(key, frame) -> tuple[str, bytes]:
 
 
 def _save(folder: str, name: str, content: bytes) -> None:
-    store, root = fs.FileSystem.from_uri(folder)
+    store, root = open_store(folder)
     store.create_dir(root)
     with store.open_output_stream(f"{root}/{name}") as out:
         out.write(content)

@@ -1,6 +1,7 @@
 """Zip archives holding one CSV each.
 
-`binaryFile` distributes the archives over tasks; decompression is the one thing Spark has no built-in for.
+`binaryFile` distributes the archives over tasks (each at most 2 GB, the reader's limit); decompression is
+the one thing Spark has no built-in for.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainlake.sources.store import open_store
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 MEMBER_SCHEMA = "path string, member string, bytes long, n_csv int, found string, content binary"
 MEMBER_FIELDS = pa.schema(
     [
@@ -50,9 +53,10 @@ def _open_members(keep: Callable[[str, zipfile.ZipFile, zipfile.ZipInfo], bytes
     return step
 
 
-def _scan(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    scan = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(paths)
-    return scan.select("path", "content")
+def archive_files(reader, paths: str | list[str]) -> DataFrame:
+    """(path, modificationTime, length, content) of the zip files, from a batch or a streaming reader."""
+    reader = reader.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.zip")
+    return reader.load(paths)
 
 
 def _described(members: DataFrame) -> DataFrame:
@@ -70,7 +74,8 @@ def read_archives(spark: SparkSession, paths: str | list[str], with_content: boo
     A bad archive stays in the result with its `problema` set; `checked` turns it into an error.
     """
     step = _open_members((lambda m, z, i: z.read(i)) if with_content else (lambda m, z, i: None))
-    members = _described(_scan(spark, paths).mapInArrow(step, MEMBER_SCHEMA))
+    files = archive_files(spark.read, paths).select("path", "content")
+    members = _described(files.mapInArrow(step, MEMBER_SCHEMA))
     return members if with_content else members.drop("content")
 
 
@@ -88,19 +93,25 @@ def checked(archives: DataFrame) -> DataFrame:
 
 
 def unpack_archives(spark: SparkSession, paths: str | list[str], raw_dir: str) -> DataFrame:
-    """Write each archive's CSV, byte for byte, to `raw_dir` and say what was written.
+    """Write each archive's CSV, byte for byte, to `raw_dir` and say what was written; see `unpack`."""
+    return unpack(archive_files(spark.read, paths), raw_dir)
+
+
+def unpack(files: DataFrame, raw_dir: str) -> DataFrame:
+    """`read_archives` on the given files, writing each member below `raw_dir` as `destino`.
 
     Streams the member to a private name and renames it, so a retried or speculative task leaves the same
     whole file. The writes happen when the result is evaluated; write the result once, then read it.
     """
 
     def write(member: str, archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> None:
-        store, root = fs.FileSystem.from_uri(raw_dir)
+        store, root = open_store(raw_dir)
         store.create_dir(root)
         private = f"{root}/.{uuid.uuid4().hex}"
         with archive.open(info) as source, store.open_output_stream(private) as target:
             shutil.copyfileobj(source, target, 1 << 20)
         store.move(private, f"{root}/{member}")
 
-    members = _described(_scan(spark, paths).mapInArrow(_open_members(write), MEMBER_SCHEMA)).drop("content")
-    return members.withColumn("destino", F.concat(F.lit(raw_dir.rstrip("/") + "/"), "member"))
+    members = _described(files.select("path", "content").mapInArrow(_open_members(write), MEMBER_SCHEMA))
+    destination = F.concat(F.lit(raw_dir.rstrip("/") + "/"), "member")
+    return members.drop("content").withColumn("destino", destination)

@@ -15,8 +15,15 @@ from chainlake.contract import CONTROL, PROVENANCE, Contract
 from chainlake.operators.correlate import correlate
 from chainlake.operators.quality import evaluate, ruleset
 from chainlake.operators.volume import volume_verdict
+from chainlake.sources.archives import archive_files, unpack
 from chainlake.sources.bronze import write_bronze
-from chainlake.sources.control import append_control, read_control, rule_records, volume_records
+from chainlake.sources.control import (
+    append_control,
+    read_control,
+    rule_records,
+    unpack_records,
+    volume_records,
+)
 from chainlake.sources.csv_events import MARK, Layout, aligned, csv_options, records, with_ingest_time
 
 log = logging.getLogger(__name__)
@@ -112,3 +119,42 @@ def ingest_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def unpack_stream(
+    spark: SparkSession,
+    path: str,
+    checkpoint: str,
+    contract: Contract,
+    raw_dir: str,
+    control_path: str,
+    seen_path: str,
+    files_per_trigger: int = 1000,
+) -> StreamingQuery:
+    """Unpack the archives not yet unpacked under this checkpoint into `raw_dir`, then stop.
+
+    Every archive unpacked leaves a control record with its execution id, derived from path and batch, so
+    that a replay keeps it. One without exactly one CSV leaves none and does not hold up the others: it
+    stays in `seen_path`, where each batch stores what it found, with its `problema`.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        seen = f"{seen_path}/batch={batch_id}"
+        # Written once and read back, since evaluating it again would unpack again.
+        unpack(batch, raw_dir).write.mode("overwrite").parquet(seen)
+        done = spark.read.parquet(seen).where("problema is null").withColumns(
+            {
+                "destino": F.concat(F.lit(contract.raw_prefix), "member"),
+                "execution_id": F.md5(F.concat_ws("|", "path", F.lit(batch_id))),
+            }
+        )
+        append_control(unpack_records(done, contract), control_path)
+
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    return (
+        archive_files(reader, path)
+        .writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -11,7 +11,7 @@ from chainlake.operators import silver
 from chainlake.plans import standins as s
 from chainlake.sources import bronze, control, csv_events
 from chainlake.streaming import ingest, outcomes, state
-from tests.helpers import SOURCE, folder_of, fresh, tuples
+from tests.helpers import SOURCE, archive_of, folder_of, fresh, tuples
 from tests.test_silver import MORE, REAL, log_of
 
 CLOCK = lambda: datetime(2026, 10, 5, 12, tzinfo=timezone.utc)
@@ -171,3 +171,15 @@ def test_generated_files_follow_the_log(spark, sf_small, tmp_path):
     folder = s.write_csv_files(spark, sf_small, fresh(tmp_path, "raw"))
     read = csv_events.read_events(spark, folder)
     assert read.count() == spark.read.parquet(f"{sf_small}/events.parquet").count()
+
+
+def test_bad_archives_do_not_hold_up_good_ones(spark, tmp_path):
+    folder = archive_of(tmp_path, {"good.zip": {"in/a.csv": HEADER + ROW % 1}, "bad.zip": {"a.txt": b""}})
+    raw, log, seen, offsets = (fresh(tmp_path, n) for n in ("raw", "log", "seen", "offsets"))
+    for _ in range(2):
+        run(ingest.unpack_stream(spark, folder, offsets, SOURCE, raw, log, seen))
+    (record,) = control.read_control(spark, log).collect()
+    assert (record["origem"], record["csv"], record["status"]) == ("unzip_swaps", "raw/swaps/a.csv", "descompactado")
+    assert (Path(raw) / "a.csv").read_bytes() == HEADER + ROW % 1
+    rejected = spark.read.parquet(seen).where("problema is not null").collect()
+    assert [r["path"].endswith("bad.zip") for r in rejected] == [True]
