@@ -22,7 +22,7 @@ def decoded_name(file_name: Column) -> Column:
 
 def arrival_key(path: Column) -> Column:
     """Deterministic run name of an arrived file: its base name, made safe and cut to length."""
-    return F.substring(F.regexp_replace(base_name(path), NAME_SAFE, "-"), 1, NAME_LIMIT)
+    return F.substring(F.regexp_replace(base_name(blank_filled(path)), NAME_SAFE, "-"), 1, NAME_LIMIT)
 
 
 def fixed_point(value: Column, digits: int) -> Column:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chainlake.functions.status import execution_or_new
 from chainlake.functions.text import arrival_key
-from chainlake.operators.keyed import HOT_ROWS, attach
+from chainlake.operators.keyed import HOT_ROWS, attach, hot_keys
 from chainlake.sources.control import of_origin
 
 
@@ -38,17 +39,27 @@ def suppress_duplicates(
     """
     keyed = keyed_arrivals(arrivals, by_content)
     place = F.struct("arrived_at", "path", *tie)
-    first = keyed.groupBy("chave").agg(F.min(place).alias("first"), F.count("*").alias("arrivals"))
-    if started is not None:
-        known = started.select("chave").distinct().withColumn("known", F.lit(True))
-        first = first.join(known, "chave", "left")
-    else:
-        first = first.withColumn("known", F.lit(None).cast("boolean"))
-    marked = attach(keyed, first, "chave", "arrivals", hot_rows)
-    later = place != F.col("first")
-    return marked.withColumn("duplicado", later | F.coalesce("known", F.lit(False))).drop(
-        "first", "arrivals", "known"
-    )
+    known = _started(started, keyed)
+
+    # Rows of hot keys stay where they are; the few first arrivals of those keys are broadcast.
+    hot = hot_keys(keyed, "chave", hot_rows)
+    rows = keyed.join(hot, "chave", "left_semi")
+    firsts = rows.groupBy("chave").agg(F.min(place).alias("first")).join(known, "chave", "left")
+    stay = rows.join(F.broadcast(firsts), "chave").withColumn("later", place != F.col("first")).drop("first")
+
+    # All others are numbered in a window, whose partitions hold at most `hot_rows` rows each.
+    inside = W.partitionBy("chave").orderBy("arrived_at", "path", *tie)
+    move = keyed.join(hot, "chave", "left_anti").join(known, "chave", "left")
+    move = move.withColumn("later", F.rank().over(inside) > 1)
+
+    marked = stay.unionByName(move)
+    return marked.withColumn("duplicado", F.col("later") | F.coalesce("known", F.lit(False))).drop("later", "known")
+
+
+def _started(started: DataFrame | None, keyed: DataFrame) -> DataFrame:
+    """(chave, known): keys of runs already started."""
+    keys = keyed.select("chave").limit(0) if started is None else started.select("chave").distinct()
+    return keys.withColumn("known", F.lit(True))
 
 
 def enrich_outcome(events: DataFrame, runs: DataFrame) -> DataFrame:
@@ -72,8 +83,7 @@ def correlate(files: DataFrame, control: DataFrame, start_stage: str, hot_rows:
         .groupBy("csv")
         .agg(F.max_by("execution_id", F.struct("timestamp", "execution_id")).alias("execution_id"))
     )
-    sizes = files.groupBy("csv").agg(F.count("*").alias("copies"))
-    return attach(files, sizes.join(last, "csv", "left"), "csv", "copies", hot_rows).drop("copies")
+    return attach(files, last, "csv", hot_rows)
 
 
 def with_execution_id(files: DataFrame) -> DataFrame:

@@ -311,3 +311,15 @@ def test_correlation_inherits_the_last_id_or_draws_one(spark):
 def test_half_even_numbers_in_messages(spark):
     row = spark.range(1).select(*(text.fixed_point(F.lit(v), d) for v, d in ((2.5, 0), (3.5, 0), (0.25, 1), (18.06, 1)))).collect()[0]
     assert tuple(row) == ("2", "4", "0.2", "18.1")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 3, 1000])
+def test_hot_files_are_correlated_like_others(spark, hot_rows):
+    log = control(
+        spark,
+        *({"origem": SOURCE.start_stage, "csv": c, "execution_id": f"e-{c}", "timestamp": "1"} for c in "abc"),
+    )
+    files = spark.createDataFrame([(c, i) for i in range(5) for c in "aad"] + [("b", 9)], "csv string, i long")
+    found = correlate.correlate(files, log, SOURCE.start_stage, hot_rows)
+    assert found.count() == 16
+    assert {(r["csv"], r["execution_id"]) for r in found.collect()} == {("a", "e-a"), ("b", "e-b"), ("d", None)}
