@@ -30,11 +30,6 @@ def fixed_point(value: Column, digits: int) -> Column:
     return F.bround(value, digits).cast(f"decimal(38,{digits})").cast("string")
 
 
-def bulleted(problems: Column) -> Column:
-    """The body of an alert: one problem per line."""
-    return F.concat(F.lit("Problemas encontrados:\n- "), F.array_join(problems, "\n- "))
-
-
 def blank(column: Column) -> Column:
     """True for null and for the empty string."""
     return column.isNull() | (column == "")

@@ -9,8 +9,21 @@ from pyspark.sql import functions as F
 
 from chainlake.contract import CHECK_STAGE, Contract
 from chainlake.functions.dates import age_hours, instant, iso_text, previous_business_day
+from chainlake.functions.messages import (
+    CHECK_BODY,
+    CHECK_SUBJECT,
+    COPY_BODY,
+    COPY_SUBJECT,
+    INCOMPLETE,
+    JOB_BODY,
+    JOB_SUBJECT,
+    STALE,
+    STUCK,
+    filled,
+    joined,
+)
 from chainlake.functions.status import is_failure, status_from_problems
-from chainlake.functions.text import bulleted, fixed_point
+from chainlake.functions.text import fixed_point
 from chainlake.sources.control import of_origin, recent, with_execution
 
 PROBLEM_FIELDS = ("checagem", "chave", "problema")
@@ -27,9 +40,8 @@ def freshness(control: DataFrame, as_of: datetime | str, contract: Contract) ->
     day = previous_business_day(F.to_date(instant(as_of))).cast("string")
     log = recent(of_origin(control, contract.start_stage), as_of, contract.lineage_window_days)
     seen = log.agg(F.coalesce(F.bool_or(F.col("timestamp").startswith(day)), F.lit(False)).alias("seen"))
-    text = F.concat(F.lit("nenhuma execução em "), day, F.lit(" (dia útil) -- ingestão não rodou"))
     return seen.where("not seen").select(
-        F.lit("atualidade").alias("checagem"), day.alias("chave"), text.alias("problema")
+        F.lit("atualidade").alias("checagem"), day.alias("chave"), filled(STALE, dia=day).alias("problema")
     )
 
 
@@ -76,9 +88,9 @@ def lineage_gaps(
         F.when(F.col("origem") == contract.start_stage, F.to_timestamp("timestamp"))
     ).alias("inicio")
     age = age_hours(as_of, F.col("inicio"))
-    text = F.concat(
-        F.lit("execução "), "execution_id", F.lit(" (iniciada há "), fixed_point(age, 1),
-        F.lit("h) sem etapa(s): "), F.array_join("faltando", ", "),
+    text = filled(
+        INCOMPLETE,
+        execucao=F.col("execution_id"), idade=fixed_point(age, 1), etapas=F.array_join("faltando", ", "),
     )
     return (
         _stages(log, contract.expected_stages, started)
@@ -92,10 +104,7 @@ def stuck_runs(runs: DataFrame, as_of: datetime | str, contract: Contract) -> Da
     """(name, idade_horas, problema) of runs still RUNNING after the margin."""
     age = age_hours(as_of, F.col("start_date"))
     margin = contract.lineage_margin_hours
-    text = F.concat(
-        F.lit("execução "), "name", F.lit(" do Step Functions está RUNNING há "), fixed_point(age, 1),
-        F.lit(f"h (> {margin}h) -- possível travamento"),
-    )
+    text = filled(STUCK, execucao=F.col("name"), idade=fixed_point(age, 1), margem=margin)
     return runs.where((F.col("status") == "RUNNING") & (age >= margin)).select(
         "name", age.alias("idade_horas"), text.alias("problema")
     )
@@ -152,31 +161,23 @@ def check_verdict(
 
 
 def check_alerts(verdict: DataFrame, contract: Contract) -> DataFrame:
-    subject = f"[{contract.name}-pipeline] atualidade/linhagem: problema encontrado"
     return verdict.where(F.size("problemas") > 0).select(
-        F.lit(subject).alias("subject"), bulleted(F.col("problemas")).alias("message")
+        filled(CHECK_SUBJECT, fonte=contract.name).alias("subject"),
+        filled(CHECK_BODY, problemas=joined(F.col("problemas"))).alias("message"),
     )
 
 
 def failure_alerts(outcomes: DataFrame, contract: Contract) -> DataFrame:
     """Per job run that ended badly: (job_name, job_run_id, state)."""
-    subject = f"[{contract.name}-pipeline] job falhou"
-    text = F.concat(F.lit("Job "), "job_name", F.lit(" run "), "job_run_id", F.lit(" terminou em "), "state")
+    body = filled(JOB_BODY, job=F.col("job_name"), run=F.col("job_run_id"), estado=F.col("state"))
     return outcomes.where(is_failure(F.col("state"))).select(
-        F.lit(subject).alias("subject"), text.alias("message")
+        filled(JOB_SUBJECT, fonte=contract.name).alias("subject"), body.alias("message")
     )
 
 
 def missing_source_alerts(missing: DataFrame, contract: Contract) -> DataFrame:
     """Per manifest entry without a file."""
-    subject = f"[{contract.name}-pipeline] ingestão agendada falhou"
-    text = F.concat(
-        F.lit("Falha ao copiar "), "origem",
-        F.lit(
-            " do bucket de origem -- possivelmente o arquivo de hoje ainda não foi publicado no horário "
-            "agendado, ou o padrão de nome mudou."
-        ),
+    return missing.select(
+        filled(COPY_SUBJECT, fonte=contract.name).alias("subject"),
+        filled(COPY_BODY, arquivo=F.col("origem")).alias("message"),
     )
-    return missing.select(F.lit(subject).alias("subject"), text.alias("message"))
-
-

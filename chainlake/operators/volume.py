@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 
 from chainlake.contract import VOLUME_STAGE, Contract
 from chainlake.functions.dates import utc_day
+from chainlake.functions.messages import (
+    FILE_BODY,
+    FILE_SUBJECT,
+    FLAT_LABEL,
+    SEASONAL_LABEL,
+    VOLUME_DROP,
+    filled,
+    joined,
+)
 from chainlake.functions.status import OK, is_volume_drop
 from chainlake.functions.text import fixed_point
 from chainlake.sources.control import of_origin, past_days
@@ -30,15 +39,10 @@ def baseline_seasonal(control: DataFrame, as_of: datetime | str, weeks: int) ->
     return counted(past_days(control, as_of, 7 * weeks, same_weekday=True)).agg(F.avg("linhas").alias("media"))
 
 
-def _labels(contract: Contract) -> tuple[Column, Column]:
-    seasonal = f"últimas {contract.seasonal_weeks} ocorrências do mesmo dia da semana"
-    flat = f"média dos últimos {contract.history_days} dias corridos"
-    return F.lit(seasonal), F.lit(flat)
-
-
 def _chosen(seasonal: Column, flat: Column, contract: Contract) -> tuple[Column, Column]:
     """(media, rotulo): the seasonal mean if it is on and has at least one record, else the flat one."""
-    seasonal_label, flat_label = _labels(contract)
+    seasonal_label = filled(SEASONAL_LABEL, semanas=contract.seasonal_weeks)
+    flat_label = filled(FLAT_LABEL, dias=contract.history_days)
     use = seasonal if contract.seasonal else F.lit(None).cast("double")
     label = F.when(use.isNotNull(), seasonal_label).when(flat.isNotNull(), flat_label)
     return F.coalesce(use, flat).alias("media"), label.alias("rotulo")
@@ -138,10 +142,7 @@ def baseline_robust(control: DataFrame, days: int, how: str = "median") -> DataF
 
 
 def _problems(rows: Column, mean: Column, label: Column, tolerance: float) -> Column:
-    text = F.concat(
-        F.lit("volume muito abaixo do histórico ("), label, F.lit("): "), rows.cast("string"),
-        F.lit(" linhas (média: "), fixed_point(mean, 0), F.lit(")"),
-    )
+    text = filled(VOLUME_DROP, rotulo=label, linhas=rows, media=fixed_point(mean, 0))
     return F.when(is_volume_drop(rows, mean, tolerance), F.array(text)).otherwise(
         F.array().cast("array<string>")
     )
@@ -163,10 +164,8 @@ def volume_verdict_by_day(counts: DataFrame, control: DataFrame, contract: Contr
 
 def volume_alerts(verdicts: DataFrame, contract: Contract) -> DataFrame:
     """(subject, message) per file with problems; nothing when all is well."""
-    subject = F.concat(F.lit(f"[{contract.name}-pipeline] qualidade de dados: "), "csv")
-    text = F.concat(
-        F.lit("Problemas encontrados em "), "csv", F.lit(":\n- "), F.array_join("problemas", "\n- ")
-    )
+    subject = filled(FILE_SUBJECT, fonte=contract.name, arquivo=F.col("csv"))
+    body = filled(FILE_BODY, arquivo=F.col("csv"), problemas=joined(F.col("problemas")))
     return verdicts.where(F.size("problemas") > 0).select(
-        "csv", subject.alias("subject"), text.alias("message")
+        "csv", subject.alias("subject"), body.alias("message")
     )

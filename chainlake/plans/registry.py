@@ -154,14 +154,14 @@ def path_manifest(spark, sf_dir):
 
 
 ARCHIVE_FILES_SQL = f"""
-SELECT file, {FILE_NAME_SQL} AS name, count(*) AS n FROM ({FILES_SQL}) GROUP BY file
+SELECT file, {FILE_NAME_SQL} AS name, count(*) AS n, arg_max(event, event_id) = 'error' AS bad FROM ({FILES_SQL}) GROUP BY file
 """
 
 
 @query(f"""
-SELECT replace(name, '.csv', '.zip') AS archive, CASE WHEN file % 3 = 2 THEN 2 ELSE 1 END AS n_csv,
-  CASE WHEN file % 3 <> 2 THEN name END AS member,
-  CASE WHEN file % 3 = 2 THEN 'esperava exatamente 1 .csv dentro de ' || replace(name, '.csv', '.zip')
+SELECT replace(name, '.csv', '.zip') AS archive, CASE WHEN bad THEN 2 ELSE 1 END AS n_csv,
+  CASE WHEN NOT bad THEN name END AS member,
+  CASE WHEN bad THEN 'esperava exatamente 1 .csv dentro de ' || replace(name, '.csv', '.zip')
     || ', achei 2: [''out/' || name || ''', ''second.CSV'']' END AS problema
 FROM ({ARCHIVE_FILES_SQL})""")
 def archive_scan(spark, sf_dir):
@@ -175,7 +175,7 @@ def archive_scan(spark, sf_dir):
 
 @query(f"""
 SELECT diss_id, orig_id, action, event_ts, notional, arquivo_origem, line_number
-FROM ({BRONZE_SQL.replace("place AS line_number", "place AS line_number, file")}) WHERE file % 3 <> 2""")
+FROM ({BRONZE_SQL}) JOIN ({ARCHIVE_FILES_SQL}) ON arquivo_origem = name WHERE NOT bad""")
 def archive_events(spark, sf_dir):
     """Archives unpacked into a raw folder, their control records kept, the CSV files read."""
     zips = s.write_csv_files(spark, sf_dir, work_folder(spark, "zip"), as_zip=True)
@@ -524,15 +524,13 @@ def baseline_month(spark, sf_dir):
 
 
 @query(f"""
-SELECT 'atualidade' AS checagem, '2024-01-29' AS chave,
-  'nenhuma execução em 2024-01-29 (dia útil) -- ingestão não rodou' AS problema
+SELECT 'atualidade' AS checagem, '2024-03-01' AS chave,
+  'nenhuma execução em 2024-03-01 (dia útil) -- ingestão não rodou' AS problema
 WHERE NOT EXISTS (SELECT 1 FROM ({s.CONTROL_LOG_SQL})
-  WHERE origem = 'glue_missing' AND starts_with("timestamp", '2024-01-29'))""")
+  WHERE origem = '{SOURCE.start_stage}' AND starts_with("timestamp", '2024-03-01'))""")
 def freshness(spark, sf_dir):
-    """Freshness by a step that left no record, so that the problem shows."""
-    from dataclasses import replace
-
-    return checks.freshness(s.control_log(spark, sf_dir), AS_OF, replace(SOURCE, start_stage="glue_missing"))
+    """On a Monday after the log's end: nothing was unpacked on the Friday before."""
+    return checks.freshness(s.control_log(spark, sf_dir), "2024-03-04T11:00:00+00:00", SOURCE)
 
 
 @query("""
@@ -785,12 +783,12 @@ def orphans(spark, sf_dir):
 
 
 @query(f"""
-SELECT arquivo_origem, count(*) AS eventos, CAST(sum(CASE WHEN line_number % 5 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS sem_hora
+SELECT arquivo_origem, count(*) AS eventos, CAST(sum(CASE WHEN event = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS sem_hora
 FROM ({s.EVENT_LOG_SQL}) GROUP BY 1""")
 def unreadable_times(spark, sf_dir):
-    """Every fifth event's time made unreadable."""
+    """The times of views made unreadable."""
     name = SOURCE.columns.event_ts
-    spoiled = F.when(F.col("line_number") % 5 == 0, "n/a").otherwise(F.col(f"`{name}`"))
+    spoiled = F.when(F.col(f"`{SOURCE.columns.event}`") == "view", "n/a").otherwise(F.col(f"`{name}`"))
     return silver.unreadable_times(s.bronze_log(spark, sf_dir).withColumn(name, spoiled), SOURCE)
 
 
@@ -871,7 +869,7 @@ def stream_checks(spark, sf_dir):
 
 @query(f"""
 SELECT name AS arquivo, stage AS origem, 1 AS execucoes FROM ({ARCHIVE_FILES_SQL}),
-  (VALUES ('{SOURCE.start_stage}'), ('glue_data_quality'), ('quality_check')) v(stage) WHERE file % 3 <> 2""")
+  (VALUES ('{SOURCE.start_stage}'), ('glue_data_quality'), ('quality_check')) v(stage) WHERE NOT bad""")
 def stream_archives(spark, sf_dir):
     """Archives unpacked as a stream, their files ingested as a stream, and every step under one execution id."""
     zips = s.write_csv_files(spark, sf_dir, work_folder(spark, "zip"), as_zip=True)
@@ -890,11 +888,15 @@ def stream_archives(spark, sf_dir):
     )
 
 
-def sliced_stream(spark: SparkSession, rows: DataFrame, slices: str, per_trigger: int) -> DataFrame:
-    """`rows`, stored as files, as a stream of a few files at a time."""
+def sliced_stream(
+    spark: SparkSession, rows: DataFrame, slices: str, per_trigger: int | None = None
+) -> DataFrame:
+    """`rows`, stored as files, as a stream of a few files at a time, or of all at once."""
     rows.write.parquet(slices)
     reader = spark.readStream.schema(spark.read.parquet(slices).schema)
-    return reader.option("maxFilesPerTrigger", per_trigger).parquet(slices)
+    if per_trigger:
+        reader = reader.option("maxFilesPerTrigger", per_trigger)
+    return reader.parquet(slices)
 
 
 @query(state_sql(s.EVENT_LOG_SQL))
@@ -917,13 +919,15 @@ def stream_outcomes(spark, sf_dir):
 
 
 @query(f"""
-SELECT name, {sql_time('start_date')} AS start_date FROM ({s.RUNNING_SQL})
-WHERE start_date + INTERVAL 2 HOUR < (SELECT least(max(CASE WHEN state = 'RUNNING' THEN event_time END),
+SELECT name, {sql_time('start_date')} AS start_date FROM (
+  SELECT name, min(event_time) AS start_date, min(CASE WHEN state <> 'RUNNING' THEN event_time END) AS end_date
+  FROM ({s.JOB_EVENTS_SQL}) GROUP BY name)
+WHERE (end_date IS NULL OR end_date >= start_date + INTERVAL 2 HOUR) AND start_date + INTERVAL 2 HOUR < (SELECT least(max(CASE WHEN state = 'RUNNING' THEN event_time END),
   max(CASE WHEN state <> 'RUNNING' THEN event_time END)) - INTERVAL 10 MINUTE FROM ({s.JOB_EVENTS_SQL}))""")
 def stream_stuck(spark, sf_dir):
-    """Runs the stream gave up on by the time its watermark reached."""
+    """Runs the stream gave up on by the time its watermark reached; all events come at once, so none is late."""
     target = work_folder(spark, "alerts")
-    events = sliced_stream(spark, s.job_events(spark, sf_dir), work_folder(spark, "slices"), 1)
+    events = sliced_stream(spark, s.job_events(spark, sf_dir), work_folder(spark, "slices"))
     alerts = outcomes.stuck_stream(events, SOURCE)
     _finished(
         alerts.writeStream.option("path", target).option("checkpointLocation", work_folder(spark, "offsets"))

@@ -71,7 +71,7 @@ SELECT CASE WHEN event_type = 'signup' THEN chain ELSE chain || '/' || event_id
   CASE WHEN event_id % 4 = 0 THEN '' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS notional,
   CASE WHEN user_id % 3 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
   'EVENTS_' || strftime(ts, '%Y_%m_%d') || '.csv' AS arquivo_origem,
-  event_id AS line_number, chain
+  event_id AS line_number, chain, event_type AS event
 FROM (SELECT *, 'S' || user_id || '-' || (event_id % 10) AS chain FROM events)
 """
 
@@ -168,72 +168,71 @@ FROM orders
 """
 
 
-# ---- job events and runs: four events make a run ----
+# ---- job events and runs: each event is a run ----
 
 
 def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A RUNNING event per run when it starts and, but for clicks, a terminal one `value` minutes later."""
     e = _events(spark, sf_dir)
     kind = F.col("event_type")
     ended = (
         F.when(kind.isin("view", "purchase"), "SUCCEEDED").when(kind == "error", "FAILED")
         .when(kind == "signup", "STOPPED")
     )
-    state = F.when(F.col("event_id") % 4 == 0, "RUNNING").when(F.col("event_id") % 4 == 2, ended)
-    run = F.floor(F.col("event_id") / 4)
+    end = F.timestamp_micros(F.unix_micros("ts") + F.floor(F.col("value") * 60) * 1_000_000)
+    both = F.array(
+        F.struct(F.lit("RUNNING").alias("state"), F.col("ts").alias("event_time")),
+        F.struct(ended.alias("state"), end.alias("event_time")),
+    )
     return e.select(
         F.lit("bronze").alias("job_name"),
-        F.concat(F.lit("jr_"), run).alias("job_run_id"),
-        F.concat(F.lit("run-"), run).alias("name"),
-        state.alias("state"),
-        F.col("ts").alias("event_time"),
+        F.concat(F.lit("jr_"), "event_id").alias("job_run_id"),
+        F.concat(F.lit("run-"), "event_id").alias("name"),
+        F.inline(both),
     ).where("state is not null")
 
 
 def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run details; every third run was started by hand and has no execution id."""
-    e = _events(spark, sf_dir).where("event_id % 4 = 0")
-    run = F.floor(F.col("event_id") / 4)
+    """Run details; runs of views were started by hand and have no execution id."""
     given = F.create_map(F.lit("--execution_id"), F.concat(F.lit("ex-"), "user_id"))
     none = F.create_map().cast("map<string,string>")
-    return e.select(
+    return _events(spark, sf_dir).select(
         F.lit("bronze").alias("job_name"),
-        F.concat(F.lit("jr_"), run).alias("job_run_id"),
-        F.when(run % 3 == 0, none).otherwise(given).alias("arguments"),
+        F.concat(F.lit("jr_"), "event_id").alias("job_run_id"),
+        F.when(F.col("event_type") == "view", none).otherwise(given).alias("arguments"),
         F.floor("value").alias("execution_time"),
     )
 
 
 JOB_EVENTS_SQL = """
-SELECT * FROM (SELECT 'bronze' AS job_name, 'jr_' || (event_id // 4) AS job_run_id,
-  'run-' || (event_id // 4) AS name, event_id // 4 AS run, ts AS event_time,
-  CASE WHEN event_id % 4 = 0 THEN 'RUNNING' WHEN event_id % 4 = 2 THEN
-    CASE WHEN event_type IN ('view', 'purchase') THEN 'SUCCEEDED' WHEN event_type = 'error' THEN 'FAILED'
-      WHEN event_type = 'signup' THEN 'STOPPED' END END AS state
-  FROM events) WHERE state IS NOT NULL
+SELECT 'bronze' AS job_name, 'jr_' || event_id AS job_run_id, 'run-' || event_id AS name, 'RUNNING' AS state,
+  ts AS event_time FROM events
+UNION ALL SELECT 'bronze', 'jr_' || event_id, 'run-' || event_id,
+  CASE WHEN event_type IN ('view', 'purchase') THEN 'SUCCEEDED' WHEN event_type = 'error' THEN 'FAILED' ELSE 'STOPPED' END,
+  make_timestamp(epoch_us(ts) + CAST(floor(value * 60) AS BIGINT) * 1000000)
+FROM events WHERE event_type <> 'click'
 """
 
 JOB_RUNS_SQL = """
-SELECT 'bronze' AS job_name, 'jr_' || (event_id // 4) AS job_run_id,
-  CASE WHEN (event_id // 4) % 3 <> 0 THEN 'ex-' || user_id END AS execution_id,
+SELECT 'bronze' AS job_name, 'jr_' || event_id AS job_run_id,
+  CASE WHEN event_type <> 'view' THEN 'ex-' || user_id END AS execution_id,
   CAST(floor(value) AS BIGINT) AS duracao_segundos
-FROM events WHERE event_id % 4 = 0
+FROM events
 """
 
 
 def running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(name, start_date, status): a run is RUNNING unless it has a terminal event."""
-    ended = F.bool_or(F.col("state") != "RUNNING")
     runs = job_events(spark, sf_dir).groupBy("name").agg(
-        F.min(F.when(F.col("state") == "RUNNING", F.col("event_time"))).alias("start_date"), ended.alias("ended")
+        F.min("event_time").alias("start_date"), F.bool_or(F.col("state") != "RUNNING").alias("ended")
     )
-    return runs.where("start_date is not null").select(
+    return runs.select(
         "name", "start_date", F.when(F.col("ended"), "SUCCEEDED").otherwise("RUNNING").alias("status")
     )
 
 
 RUNNING_SQL = f"""
-SELECT name, min(CASE WHEN state = 'RUNNING' THEN event_time END) AS start_date
-FROM ({JOB_EVENTS_SQL}) GROUP BY name HAVING bool_and(state = 'RUNNING')
+SELECT name, min(event_time) AS start_date FROM ({JOB_EVENTS_SQL}) GROUP BY name HAVING bool_and(state = 'RUNNING')
 """
 
 
@@ -254,7 +253,8 @@ def write_csv_files(spark: SparkSession, sf_dir: str, folder: str, as_zip: bool
     """Write the event log as CSV files of FILE_ROWS events, or as archives of one such file each.
 
     A group is one file and bounded by FILE_ROWS ids. Odd-numbered files swap the first two columns, so
-    readers must go by the header.
+    readers must go by the header. An archive whose last event is an error holds a second CSV, which makes
+    it a bad one.
     """
     rows = bronze_log(spark, sf_dir).drop("arquivo_origem").withColumnRenamed("line_number", "event_id")
     files = rows.groupBy(F.floor(F.col("event_id") / FILE_ROWS).alias("file"))
@@ -304,7 +304,7 @@ def _archive_writer(folder: str):
         blob = io.BytesIO()
         with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr(f"out/{name}", content)
-            if key[0] % 3 == 2:
+            if frame.sort_values("event_id")[SOURCE.columns.event].iloc[-1] == "error":
                 archive.writestr("second.CSV", b"a\n1\n")
         _save(folder, name.removesuffix(".csv") + ".zip", blob.getvalue())
         return pd.DataFrame({"name": [name], "rows": [len(frame)]})

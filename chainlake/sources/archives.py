@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chainlake.functions.messages import BAD_ARCHIVE, filled
 from chainlake.sources.store import open_store
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -61,10 +62,7 @@ def archive_files(reader, paths: str | list[str]) -> DataFrame:
 
 def _described(members: DataFrame) -> DataFrame:
     """Add the problem text of archives that do not hold exactly one CSV."""
-    text = F.concat(
-        F.lit("esperava exatamente 1 .csv dentro de "), "path", F.lit(", achei "), F.col("n_csv"),
-        F.lit(": "), "found",
-    )
+    text = filled(BAD_ARCHIVE, arquivo=F.col("path"), achados=F.col("n_csv"), nomes=F.col("found"))
     return members.withColumn("problema", F.when(F.col("n_csv") != 1, text)).drop("found")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlake.contract import Contract
+from chainlake.functions.messages import filled
 from chainlake.functions.text import base_name
 
 
@@ -27,15 +28,13 @@ def source_manifest(
 
     `days` has a date column `data`; a calendar, or the days some other table names.
     """
-    slots = {
-        "fonte": F.col("fonte"),
-        "fonte_upper": F.upper("fonte"),
-        "classe_ativo": F.col("classe_ativo"),
-        "data_underscore": F.translate(F.col("data").cast("string"), "-", "_"),
-    }
-    path = F.lit(contract.source_template)
-    for slot, value in slots.items():
-        path = F.replace(path, F.lit("{" + slot + "}"), value)
+    path = filled(
+        contract.source_template,
+        fonte=F.col("fonte"),
+        fonte_upper=F.upper("fonte"),
+        classe_ativo=F.col("classe_ativo"),
+        data_underscore=F.translate(F.col("data").cast("string"), "-", "_"),
+    )
     return (
         days.select("data", F.explode(_texts(classes or (contract.default_class,))).alias("classe_ativo"))
         .select("*", F.explode(_texts(regulators or (contract.default_regulator,))).alias("fonte"))
