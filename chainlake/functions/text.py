@@ -38,3 +38,8 @@ def blank(column: Column) -> Column:
 def blank_filled(column: Column) -> Column:
     """Absent value -> empty string, the only kind of 'no value' Bronze holds."""
     return F.coalesce(column, F.lit(""))
+
+
+def named(column: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + column.replace("`", "``") + "`")

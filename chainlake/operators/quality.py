@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chainlake.contract import Contract
 from chainlake.functions.status import status_from_outcome
-from chainlake.functions.text import blank
+from chainlake.functions.text import blank, named
 
 
 def _quoted(name: str) -> str:
@@ -39,7 +39,7 @@ class IsComplete:
         return f"IsComplete {_quoted(self.column)}"
 
     def holds(self) -> Column:
-        value = F.col(f"`{self.column}`")
+        value = named(self.column)
         return ~blank(value) if self.blank_is_null else value.isNotNull()
 
     def passes(self, value: Column) -> Column:
@@ -72,7 +72,7 @@ class InDomain:
         return f"ColumnValues {_quoted(self.column)} in [{', '.join(_quoted(v) for v in self.values)}]"
 
     def holds(self) -> Column:
-        return F.coalesce(F.col(f"`{self.column}`").isin(*self.values), F.lit(False))
+        return F.coalesce(named(self.column).isin(*self.values), F.lit(False))
 
     def passes(self, value: Column) -> Column:
         return value == 1.0
@@ -147,7 +147,7 @@ def _counts(df: DataFrame, groups: list[str], unique: str | None, held: dict[str
     tallies = [F.count_if(rule).alias(name) for name, rule in held.items()]
     if unique is None:
         return df.groupBy(*groups).agg(F.count("*").alias("rows"), F.lit(0).alias("single"), *tallies)
-    per_value = df.groupBy(*groups, F.col(f"`{unique}`").alias("value")).agg(F.count("*").alias("rows"), *tallies)
+    per_value = df.groupBy(*groups, named(unique).alias("value")).agg(F.count("*").alias("rows"), *tallies)
     return per_value.groupBy(*groups).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
         F.count_if((F.col("rows") == 1) & F.col("value").isNotNull()).alias("single"),

@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 
 from chainlake.contract import Contract
 from chainlake.functions.chain import chain_key, event_order, event_time
-from chainlake.functions.text import blank
+from chainlake.functions.text import blank, blank_filled, named
 from chainlake.operators.keyed import HOT_ROWS
 from chainlake.sources.bronze import project
 
 PLACE = ("event_ts", "arquivo_origem", "line_number")
 
 
-def typed_log(bronze: DataFrame, contract: Contract) -> DataFrame:
-    """Declared Bronze columns under short names, plus the chain key and a parsed `event_ts`."""
+def typed_log(bronze: DataFrame, contract: Contract, more: tuple[str, ...] = ()) -> DataFrame:
+    """Declared Bronze columns under short names, plus the chain key and a parsed `event_ts`.
+
+    `more` names further Bronze columns to carry along under their own names.
+    """
     present = {new: old for new, old in contract.columns.raw_names().items() if old in bronze.columns}
-    kept = {**present, "arquivo_origem": "arquivo_origem", "line_number": "line_number"}
+    kept = {**present, **{c: c for c in (*more, "arquivo_origem", "line_number")}}
     return project(bronze, kept).withColumns(
         {"event_ts": event_time(F.col("event_ts")), "chain": chain_key(F.col("diss_id"), F.col("orig_id"))}
     )
@@ -55,7 +58,7 @@ def fold_states(states: DataFrame) -> DataFrame:
     fold to the state of the whole, and a replayed part changes nothing.
     """
     fields = [c for c in states.columns if c not in ("chain", "encerrada", "tem_origem")]
-    latest = F.max_by(F.struct(*fields), event_order()).alias("latest")
+    latest = F.max_by(F.struct(*map(named, fields)), event_order()).alias("latest")
     folded = states.groupBy("chain").agg(
         latest, F.bool_or("encerrada").alias("encerrada"), F.bool_or("tem_origem").alias("tem_origem")
     )
@@ -92,16 +95,16 @@ def _folded(events: DataFrame, blank_values: str, reopen_on: tuple[str, ...]) ->
     sticky = [c for c in events.columns if c in strings - fixed] if blank_values == "keep" else []
     whole = [c for c in events.columns if c != "chain" and c not in sticky]
 
-    kept = [F.max_by(c, F.when(~blank(F.col(c)), order)).alias(c) for c in sticky]
+    kept = [F.max_by(named(c), F.when(~blank(named(c)), order)).alias(c) for c in sticky]
     closed = F.max(F.when(F.col("action") == "TERM", order)).alias("closed")
     opened = F.max(F.when(F.col("action").isin(*reopen_on), order)).alias("opened")
     folded = events.groupBy("chain").agg(
-        F.max_by(F.struct(*whole), order).alias("latest"), *kept, closed, opened,
+        F.max_by(F.struct(*map(named, whole)), order).alias("latest"), *kept, closed, opened,
         F.bool_or(F.col("action") == "NEWT").alias("tem_origem"),
     )
     ended = F.col("closed").isNotNull() & F.coalesce(F.col("opened") < F.col("closed"), F.lit(True))
     flat = folded.select("*", "latest.*")
-    columns = [F.coalesce(c, F.lit("")).alias(c) if c in sticky else F.col(c) for c in events.columns]
+    columns = [blank_filled(named(c)).alias(c) if c in sticky else named(c) for c in events.columns]
     return flat.select(*columns, ended.alias("encerrada"), "tem_origem")
 
 
@@ -126,7 +129,7 @@ def history(log: DataFrame, hot_rows: int = HOT_ROWS, slice_rows: int = HOT_ROWS
         F.coalesce(F.floor((at - F.col("first")) / F.col("width")), F.lit(-1))
     )
     sliced = log.join(F.broadcast(hot), "chain", "left").select(
-        *log.columns, part.alias("part"), F.col("width").isNotNull().alias("hot")
+        *map(named, log.columns), part.alias("part"), F.col("width").isNotNull().alias("hot")
     )
 
     heads = (
@@ -147,7 +150,7 @@ def history(log: DataFrame, hot_rows: int = HOT_ROWS, slice_rows: int = HOT_ROWS
     joined = numbered.join(F.broadcast(shifts), ["chain", "part"], "left")
     successor = F.coalesce("next", "next_head")
     return joined.select(
-        *(F.col(c) for c in log.columns),
+        *map(named, log.columns),
         (F.col("seq") + F.coalesce("before", F.lit(0))).cast("int").alias("event_seq"),
         F.col("event_ts").alias("valid_from"),
         successor["event_ts"].alias("valid_to"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chainlake import contract as names
 from chainlake.functions.status import PROBLEM
+from chainlake.functions.text import named
 from chainlake.sources.control import of_origin, with_execution
 
 
@@ -16,9 +17,9 @@ def rows_per_file(bronze: DataFrame) -> DataFrame:
 
 def action_distribution(bronze: DataFrame, column: str = "Action type") -> DataFrame:
     return (
-        bronze.groupBy(F.col(f"`{column}`").alias(column))
+        bronze.groupBy(named(column).alias(column))
         .agg(F.count("*").alias("total"))
-        .orderBy(F.desc("total"), F.col(f"`{column}`"))
+        .orderBy(F.desc("total"), named(column))
     )
 
 

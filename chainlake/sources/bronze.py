@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainlake.contract import PROVENANCE
+from chainlake.functions.text import named
 
 
 def write_bronze(df: DataFrame, path: str) -> None:
@@ -41,12 +42,12 @@ def read_bronze(spark: SparkSession, path: str, columns: tuple[str, ...] | None
 
 def projected(bronze: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """The declared columns and the provenance; the rest is never read from Parquet."""
-    return bronze.select(*(F.col(f"`{c}`") for c in columns), "line_number", "ingerido_em", "arquivo_origem")
+    return bronze.select(*(named(c) for c in columns), "line_number", "ingerido_em", "arquivo_origem")
 
 
 def project(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Select and rename: new name -> present name."""
-    return df.select(*(F.col(f"`{old}`").alias(new) for new, old in names.items()))
+    return df.select(*(named(old).alias(new) for new, old in names.items()))
 
 
 def ingest_summary(bronze: DataFrame, layouts: DataFrame | None = None) -> DataFrame:

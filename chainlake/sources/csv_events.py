@@ -14,7 +14,6 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -58,25 +57,36 @@ def header_names(cells: Iterable[str | None]) -> list[str]:
     return [(cell or "").lstrip("﻿") or f"{SLOT}{i}" for i, cell in enumerate(cells)]
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def header_fields(lines: pd.Series) -> pd.Series:
-    return lines.map(lambda line: header_names(next(csv.reader([line]), [])))
+def _runs(names: pa.Array) -> Iterator[tuple[str, int, int]]:
+    """(value, start, stop) of each stretch of equal values."""
+    encoded = pc.run_end_encode(names)
+    start = 0
+    for value, stop in zip(encoded.values.to_pylist(), encoded.run_ends.to_pylist()):
+        yield value, start, stop
+        start = stop
+
+
+def _name_of(path: str) -> str:
+    """Base name of a path as Spark writes it, URL-encoded."""
+    return unquote(path.rsplit("/", 1)[-1])
+
+
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow step over (path, value): the header of each file whose beginning the task reads."""
+    file = None
+    for batch in batches:
+        for path, start, _ in _runs(batch.column(0)):
+            if path != file:
+                file = path
+                header = header_names(next(csv.reader([batch.column(1)[start].as_py()])))
+                yield pa.RecordBatch.from_pydict({"arquivo_origem": [_name_of(path)], "colunas": [header]})
 
 
 def file_layouts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(arquivo_origem, colunas): the header of every file, from one narrow text scan."""
-    lines = spark.read.text(paths).select(
-        decoded_name(F.col("_metadata.file_name")).alias("arquivo_origem"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-        "value",
-    )
-    first = (
-        lines.where("block = 0 and value <> ''")
-        .groupBy("arquivo_origem")
-        .agg(F.min_by("value", "place").alias("header"))
-    )
-    return first.select("arquivo_origem", header_fields("header").alias("colunas"))
+    """(arquivo_origem, colunas): the header of every file, from one text scan without a shuffle."""
+    lines = spark.read.text(paths).where("_metadata.file_block_start = 0 and value <> ''")
+    found = lines.select(F.input_file_name().alias("path"), "value")
+    return found.mapInArrow(_first_lines, "arquivo_origem string, colunas array<string>")
 
 
 def discover_layout(spark: SparkSession, paths: str | list[str]) -> Layout:
@@ -92,23 +102,18 @@ def discover_layout(spark: SparkSession, paths: str | list[str]) -> Layout:
     return Layout(tuple(row["name"] for row in found), max((row["last"] for row in found), default=-1) + 1)
 
 
-def _runs(names: pa.Array) -> Iterator[tuple[str, int, int]]:
-    """(value, start, stop) of each stretch of equal values."""
-    encoded = pc.run_end_encode(names)
-    start = 0
-    for value, stop in zip(encoded.values.to_pylist(), encoded.run_ends.to_pylist()):
-        yield value, start, stop
-        start = stop
-
-
-def _header_of(record: dict, path: str, width: int) -> list[str]:
+def _header_of(record: dict, path: str, columns: tuple[str, ...], width: int) -> list[str]:
     """Names in a file's first record; a record that does not fit the scan is taken apart again."""
     cells = [record[f"{SLOT}{i}"] for i in range(width)]
     if record[BROKEN] is not None:
         cells = next(csv.reader([record[BROKEN]]), [])
     if len(cells) > width:
         raise ValueError(f"{path}: header has {len(cells)} columns, the scan was given {width}")
-    return header_names(cells)
+    header = header_names(cells)
+    unknown = {n for n in header if n not in columns and not n.startswith(SLOT)}
+    if unknown:
+        raise ValueError(f"{path}: columns {sorted(unknown)} are not in the layout the scan was given")
+    return header
 
 
 def _by_own_header(columns: tuple[str, ...], width: int, marks: bool) -> Callable:
@@ -126,9 +131,9 @@ def _by_own_header(columns: tuple[str, ...], width: int, marks: bool) -> Callabl
             for path, start, stop in _runs(batch.column(0)):
                 part = batch.slice(start, stop - start)
                 if path != file:
-                    header = _header_of(part.slice(0, 1).to_pylist()[0], path, width)
+                    header = _header_of(part.slice(0, 1).to_pylist()[0], path, columns, width)
                     places = {column: i + 1 for i, column in enumerate(header)}
-                    file, name, seen = path, unquote(path.rsplit("/", 1)[-1]), 0
+                    file, name, seen = path, _name_of(path), 0
                     part = part.slice(1)
                     if marks:
                         yield numbered([pa.array([c if c in places else ""]) for c in columns], name, MARK)
@@ -167,8 +172,8 @@ def read_events(
 ) -> DataFrame:
     """Bronze rows of the files: every value a string, never null, plus the provenance columns.
 
-    Without a `layout` the headers are looked up first. A given layout saves that scan; a file with more
-    columns than it allows fails the read, a file without one of its columns reads as blank there.
+    Without a `layout` the headers are looked up first. A given layout saves that scan; a file with a column
+    it does not know fails the read, a file without one of its columns reads as blank there.
     """
     layout = layout or discover_layout(spark, paths)
     raw = records(csv_options(spark.read, layout.width).csv(paths))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlake.contract import Contract
-from chainlake.functions.messages import filled
+from chainlake.functions.messages import COPY_BODY, filled
 from chainlake.functions.text import base_name
 
 
@@ -53,11 +53,23 @@ def source_listing(spark: SparkSession, root: str) -> DataFrame:
     return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
+def _paths_below(listing: DataFrame, root: str) -> DataFrame:
+    """(origem): the listed paths relative to `root`."""
+    prefix = f"^(file:/+)?{root.removeprefix('file:').strip('/')}/"
+    return listing.select(F.regexp_replace(F.ltrim("path", F.lit("/")), prefix, "").alias("origem"))
+
+
 def missing_sources(manifest: DataFrame, listing: DataFrame, root: str) -> DataFrame:
     """Manifest entries with no file below `root`."""
-    prefix = f"^(file:/+)?{root.removeprefix('file:').strip('/')}/"
-    there = listing.select(F.regexp_replace(F.ltrim("path", F.lit("/")), prefix, "").alias("origem"))
-    return manifest.join(there, "origem", "left_anti")
+    return manifest.join(_paths_below(listing, root), "origem", "left_anti")
+
+
+def required_sources(manifest: DataFrame, listing: DataFrame, root: str) -> DataFrame:
+    """The manifest, if all its files are there; the job fails at the first that is not."""
+    there = _paths_below(listing, root).distinct().withColumn("found", F.lit(True))
+    failure = F.raise_error(filled(COPY_BODY, arquivo=F.col("origem"))).cast("boolean")
+    marked = manifest.join(there, "origem", "left")
+    return marked.where(F.when(F.col("found"), True).otherwise(failure)).select(*manifest.columns)
 
 
 def admitted(paths: DataFrame, prefix: str, suffix: str | None = None, column: str = "path") -> DataFrame:

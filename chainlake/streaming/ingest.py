@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chainlake.contract import CONTROL, PROVENANCE, Contract
+from chainlake.functions.text import named
 from chainlake.operators.correlate import correlate
 from chainlake.operators.quality import evaluate, ruleset
 from chainlake.operators.volume import volume_verdict
@@ -83,12 +84,12 @@ def check_records(
         control = spark.createDataFrame([], CONTROL)
     rows = batch.where(F.col("line_number") != MARK)
     columns = [c for c in batch.columns if c not in PROVENANCE]
-    there = F.array_compact(F.array(*(F.nullif(F.col(f"`{c}`"), F.lit("")) for c in columns)))
+    there = F.array_compact(F.array(*(F.nullif(named(c), F.lit("")) for c in columns)))
     layouts = batch.where(F.col("line_number") == MARK).select("arquivo_origem", there.alias("colunas"))
     counts = batch.groupBy("arquivo_origem").agg((F.count("*") - 1).alias("linhas"))
-    named = counts.withColumn("csv", F.concat(F.lit(contract.raw_prefix), "arquivo_origem"))
+    listed = counts.withColumn("csv", F.concat(F.lit(contract.raw_prefix), "arquivo_origem"))
     own = F.md5(F.concat_ws("|", "csv", F.lit(batch_id)))
-    files = correlate(named, control, contract.start_stage).withColumn(
+    files = correlate(listed, control, contract.start_stage).withColumn(
         "execution_id", F.coalesce("execution_id", own)
     )
     outcomes = evaluate(rows, ruleset(contract), by="arquivo_origem", layouts=layouts).join(

@@ -323,3 +323,20 @@ def test_hot_files_are_correlated_like_others(spark, hot_rows):
     found = correlate.correlate(files, log, SOURCE.start_stage, hot_rows)
     assert found.count() == 16
     assert {(r["csv"], r["execution_id"]) for r in found.collect()} == {("a", "e-a"), ("b", "e-b"), ("d", None)}
+
+
+def test_a_real_verdict(spark):
+    """The messages of a check on a Monday after a missed Friday, with four executions behind."""
+    as_of = "2026-10-05T12:00:00+00:00"
+    lacking = {"e1": ("04T17:54", STAGES[2:]), "e2": ("04T17:00", STAGES[2:3]), "e3": ("04T17:12", STAGES[2:]),
+               "e4": ("04T17:24", STAGES[2:])}
+    rows = [r for e, (t, there) in lacking.items()
+            for r in started(f"2026-10-{t}:00+00:00", e, (STAGES[0], *there))]
+    (record,) = checks.check_verdict(control(spark, *rows), None, as_of, SOURCE).collect()
+    assert record["problemas"] == [
+        "nenhuma execução em 2026-10-02 (dia útil) -- ingestão não rodou",
+        "execução e1 (iniciada há 18.1h) sem etapa(s): glue_data_quality",
+        "execução e2 (iniciada há 19.0h) sem etapa(s): glue_data_quality, quality_check",
+        "execução e3 (iniciada há 18.8h) sem etapa(s): glue_data_quality",
+        "execução e4 (iniciada há 18.6h) sem etapa(s): glue_data_quality",
+    ]

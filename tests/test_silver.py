@@ -149,3 +149,15 @@ def test_gold(spark):
     shares = {r["product"]: r for r in gold.concentration(state, "product", "notional").collect()}
     assert shares["B"]["participacao"] == pytest.approx(0.6)
     assert shares["A"]["hhi"] == pytest.approx(0.52)
+
+
+def test_columns_beyond_the_declared_ones_are_carried_along(spark):
+    c = SOURCE.columns
+    bronze = spark.createDataFrame(
+        [("1", "", "NEWT", "2026-10-02T19:00:00", "old", "f.csv", 0), ("2", "1", "MODI", "2026-10-02T19:00:01", "", "f.csv", 1)],
+        "a string, b string, c string, d string, e string, arquivo_origem string, line_number long",
+    ).toDF(c.diss_id, c.orig_id, c.action, c.event_ts, "Fixed rate-Leg 1.x", "arquivo_origem", "line_number")
+    log = silver.typed_log(bronze, SOURCE, more=("Fixed rate-Leg 1.x",))
+    assert silver.current_state(log).collect()[0]["Fixed rate-Leg 1.x"] == ""
+    assert silver.current_state(log, blank_values="keep").collect()[0]["Fixed rate-Leg 1.x"] == "old"
+    assert silver.history(log).count() == 2

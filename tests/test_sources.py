@@ -195,3 +195,21 @@ def test_registered_tables(spark, tmp_path):
         names = tables.register_tables(spark, source, target, log, "registered", refresh)
     assert spark.table(names[0]).select("Action type", "arquivo_origem").collect()[0][:] == ("NEWT", "a.csv")
     assert spark.table(names[1]).select("status").collect()[0][0] == "copiado"
+
+
+def test_declared_layout_refuses_unknown_columns(spark, tmp_path):
+    folder = folder_of(tmp_path, {"a.csv": b'x,"y\nz"\n1,2\n'})
+    with pytest.raises(PySparkException, match="are not in the layout"):
+        csv_events.read_events(spark, folder).collect()
+
+
+def test_required_sources_fail_the_job(spark, tmp_path):
+    root = tmp_path / "store" / "cftc" / "eod"
+    root.mkdir(parents=True)
+    (root / "CFTC_CUMULATIVE_RATES_2026_10_02.zip").write_bytes(b"x")
+    listing = manifest.source_listing(spark, str(tmp_path / "store"))
+    one = manifest.source_manifest(manifest.calendar(spark, date(2026, 10, 2), date(2026, 10, 2)), SOURCE)
+    assert manifest.required_sources(one, listing, str(tmp_path / "store")).count() == 1
+    two = manifest.source_manifest(manifest.calendar(spark, date(2026, 10, 2), date(2026, 10, 3)), SOURCE)
+    with pytest.raises(PySparkException, match="Falha ao copiar cftc/eod/CFTC_CUMULATIVE_RATES_2026_10_03.zip"):
+        manifest.required_sources(two, listing, str(tmp_path / "store")).collect()
