@@ -41,9 +41,13 @@ def slot_schema(width: int) -> T.StructType:
 
 
 def csv_options(reader, width: int):
-    """Reader options shared by batch and streaming scans."""
+    """Reader options shared by batch and streaming scans.
+
+    The line end is given rather than detected: a detected CRLF turns every CRLF inside quotes into LF and
+    misses line ends of the other kind. What a CRLF leaves behind is taken off by `_without_returns`.
+    """
     return reader.schema(slot_schema(width)).options(
-        header=False, multiLine=True, escape='"', columnNameOfCorruptRecord=BROKEN, encoding="UTF-8"
+        header=False, multiLine=True, escape='"', lineSep="\n", columnNameOfCorruptRecord=BROKEN, encoding="UTF-8"
     )
 
 
@@ -102,6 +106,22 @@ def discover_layout(spark: SparkSession, paths: str | list[str]) -> Layout:
     return Layout(tuple(row["name"] for row in found), max((row["last"] for row in found), default=-1) + 1)
 
 
+def _without_returns(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
+    """Take the CR of a CRLF off each record's last cell, and drop records that are nothing else."""
+    cells = [batch.column(i + 1) for i in range(width)]
+    trimmed, only = list(cells), None
+    for i in reversed(range(width)):
+        ends = pc.fill_null(pc.ends_with(cells[i], "\r"), False)
+        if pc.any(ends).as_py():
+            for later in cells[i + 1:]:
+                ends = pc.and_(ends, pc.is_null(later))
+            trimmed[i] = pc.if_else(ends, pc.utf8_slice_codeunits(cells[i], 0, -1), cells[i])
+            if i == 0:
+                only = pc.and_(ends, pc.equal(cells[0], "\r"))
+    whole = pa.RecordBatch.from_arrays([batch.column(0), *trimmed, batch.column(width + 1)], batch.schema.names)
+    return whole if only is None else whole.filter(pc.invert(only))
+
+
 def _header_of(record: dict, path: str, columns: tuple[str, ...], width: int) -> list[str]:
     """Names in a file's first record; a record that does not fit the scan is taken apart again."""
     cells = [record[f"{SLOT}{i}"] for i in range(width)]
@@ -127,7 +147,8 @@ def _by_own_header(columns: tuple[str, ...], width: int, marks: bool) -> Callabl
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, name, places, seen = None, "", {}, 0
-        for batch in batches:
+        for raw in batches:
+            batch = _without_returns(raw, width)
             for path, start, stop in _runs(batch.column(0)):
                 part = batch.slice(start, stop - start)
                 if path != file:
@@ -186,8 +207,10 @@ def count_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Counts parsed records, not line ends: a quoted field may span lines.
     """
     scan = csv_options(spark.read, 1).csv(paths)
+    blank_line = F.coalesce(F.col(f"{SLOT}0") == "\r", F.lit(False))
     return (
-        scan.select(
+        scan.where(~blank_line)
+        .select(
             F.col("_metadata.file_path").alias("csv"),
             decoded_name(F.col("_metadata.file_name")).alias("arquivo_origem"),
         )
