@@ -28,7 +28,11 @@ def configured(spark: SparkSession) -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only where that is unset (plain local tests) a temporary folder stands in for it.
+    Only a session whose tasks share the driver's disk may leave that unset: a temporary folder stands in for it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="chainlake-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set; it must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="chainlake-")
     return f"{base.rstrip('/')}/chainlake/{purpose}-{uuid.uuid4().hex}"
