@@ -61,11 +61,11 @@ def described(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 def targets(cells: DataFrame, dimension: str, power: float) -> DataFrame:
     """(dimension, target): target share of each value, from its share of tokens. Values without tokens have none."""
-    sums = cells.groupBy(dimension).agg(F.sum("tokens").alias("t")).where("t > 0")
-    total = F.broadcast(sums.agg(F.sum(F.pow(F.col("t").cast("double"), F.lit(power))).alias("s")))
-    scaled = sums.select(dimension, F.pow(F.col("t").cast("double"), F.lit(power)).alias("w"))
-    one = scaled.withColumn("all", F.lit(1)).join(total.withColumn("all", F.lit(1)), "all")
-    return one.select(dimension, (F.col("w") / F.col("s")).alias("target"))
+    scaled = cells.groupBy(dimension).agg(F.sum("tokens").alias("t")).where("t > 0").select(
+        dimension, F.pow(F.col("t").cast("double"), F.lit(power)).alias("w")
+    )
+    total = scaled.agg(F.sum("w")).first()[0]
+    return scaled.select(dimension, (F.col("w") / F.lit(total)).alias("target"))
 
 
 def raked(cells: DataFrame, goals: dict[str, DataFrame], cycles: int = CYCLES) -> DataFrame:
