@@ -176,7 +176,7 @@ def read_warc(files: DataFrame) -> DataFrame:
                             held = []
                 yield {n: [r[n] for r in held] for n in NAMES}
 
-    return arrow_step(files.select("path").repartition("path"), step, RECORD)
+    return arrow_step(files.select("path").repartition(max(1, files.count()), "path"), step, RECORD)
 
 
 # ======== derivation ========
