@@ -248,7 +248,8 @@ def templates(pages: DataFrame) -> DataFrame:
     A host's tokens on at least half of its pages are no more than twice a page's, so one task can nest them.
     """
     tokens = saved(occurrences(pages), "occurrences")
-    totals = tokens.where("token = 0").select("host", F.col("pages").alias("n_pages"))
+    # Written, so that its size is known: where it is broadcast, rare tokens go before anything is dealt out by host.
+    totals = saved(tokens.where("token = 0").select("host", F.col("pages").alias("n_pages")), "hosts")
     often = tokens.where("token <> 0").join(totals, "host").where(F.col("pages") >= LEAST_SHARE * F.col("n_pages"))
     fields = pa.schema(
         [("host", pa.string()), ("n_pages", pa.int64()), ("boilerplate", pa.list_(pa.int64())), ("menus", pa.list_(pa.int64())), ("template", pa.string())]
