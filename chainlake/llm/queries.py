@@ -110,4 +110,4 @@ def op9_language(spark, sf_dir):
 @query
 def op10_token_files(spark, sf_dir):
     shards = token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
-    return token_files.read_tokens(shards).drop("tokens")
+    return token_files.read_tokens(shards, with_tokens=False)

@@ -11,10 +11,13 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
+import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -35,7 +38,7 @@ INDEX_FRAME = 0x184D2A50
 END_ID = 0
 LEVEL = 1
 # A worker's memory of encoded pieces starts anew at this many; results do not depend on it.
-KNOWN_PIECES = 800_000
+KNOWN_PIECES = 600_000
 
 _DOUBLE = re.compile(r"\s\s")
 _MIXED = re.compile(r" \s|\s ")
@@ -117,12 +120,23 @@ class Reader:
 
 # ======== encoding ========
 
+# A run of letters, with the space before it, and ASCII marks after it: the public splitting pattern parts them there.
+_WORD = regex.compile(r"( ?\p{L}+)([!-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, other bytes for letters from 256 on."""
+    shown = {b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()}
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
 
 class Encoder:
     """Ids of texts, as bytes. Each distinct piece between single spaces is encoded once by the library.
 
     Tokens of a byte-level vocabulary with the public splitting pattern never cross from a character that is
-    not white space into a space before another such character, so the ids of those pieces follow each other.
+    not white space into a space before another such character, so the ids of those pieces follow each other. A piece of
+    letters and marks goes to the library's model as these two parts, any other piece to its whole chain.
     Texts with other runs of white space that hold a space, or with a special token's string, go to the library whole.
     """
 
@@ -133,10 +147,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.kind = {2: "H", 4: "I"}[self.width]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.splits = "ByteLevel" in str(self.tokenizer.pre_tokenizer)[:10] and self.tokenizer.normalizer is None
+        self.pieces: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        chain = str(self.tokenizer.pre_tokenizer)
+        self.splits = (
+            self.tokenizer.normalizer is None and chain.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in chain
+        )
+        self.letters = _byte_letters()
         self.end = self._bytes([END_ID])
 
     @classmethod
@@ -146,26 +167,46 @@ class Encoder:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _bytes(self, ids) -> bytes:
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
-
-    def _whole(self, text: str) -> bytes:
-        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def _bytes(self, ids: list[int]) -> bytes:
+        packed = array(self.kind, ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
+
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
+            found = self.parts[part] = self._bytes([t.id for t in tokens])
+        return found
+
+    def _learn(self, new: set[str]) -> None:
+        rest = []
+        for piece in new:
+            match = _WORD.fullmatch(piece)
+            if match:
+                head, marks = match.groups()
+                self.pieces[piece] = self._part(head) + self._part(marks) if marks else self._part(head)
+            else:
+                rest.append(piece)
+        for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+            self.pieces[piece] = self._bytes(found.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, the end id appended."""
-        if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
+        if len(self.pieces) > KNOWN_PIECES:
+            self.pieces.clear()
+            self.parts.clear()
         split = [self._pieces(t) for t in texts]
-        new = list(set().union(*(p for p in split if p)) - self.known.keys())
-        if new:
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self.known[piece] = self._bytes(found.ids)
-        get = self.known.__getitem__
+        self._learn(set().union(*(p for p in split if p)).difference(self.pieces))
+        get = self.pieces.__getitem__
         return [
             (b"".join(map(get, p)) if p is not None else self._whole(t)) + self.end for t, p in zip(texts, split)
         ]
 
+    def _whole(self, text: str) -> bytes:
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
     def _pieces(self, text: str) -> list[str] | None:
         if not self.splits or any(s in text for s in self.special):
             return None
@@ -220,8 +261,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
     )
 
 
-def read_tokens(shards: DataFrame, doc_ids: list[int] | None = None) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, tokens array) of the documents in the files, or of those asked for only.
+def read_tokens(shards: DataFrame, doc_ids: list[int] | None = None, with_tokens: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32[, tokens array]) of the documents in the files, or of those asked for only.
 
     ids_crc32 covers the ids as little-endian unsigned 32-bit integers. Frames of other documents are not read.
     """
@@ -234,7 +275,7 @@ def read_tokens(shards: DataFrame, doc_ids: list[int] | None = None) -> DataFram
                 with store.open_input_file(inner) as source:
                     reader = Reader(source, source.size())
                     sizes = (reader.table[:-1, 1] // reader.width).tolist()
-                    names = ("doc_id", "start", "n_tokens", "ids_crc32", "tokens")
+                    names = ("doc_id", "start", "n_tokens", "ids_crc32", "tokens")[: 5 if with_tokens else 4]
                     out, start = {n: [] for n in names}, before
                     for place, (key, n) in enumerate(zip(reader.ids, sizes)):
                         if wanted is None or key in wanted:
@@ -248,5 +289,7 @@ def read_tokens(shards: DataFrame, doc_ids: list[int] | None = None) -> DataFram
                             out = {n: [] for n in names}
                     yield out
 
-    spread = shards.select("path", "before").repartition("path")
-    return arrow_step(spread, step, "doc_id long, start long, n_tokens long, ids_crc32 long, tokens array<long>")
+    # A task for each file, however few bytes its row has.
+    spread = shards.select("path", "before").repartition(max(1, shards.count()), "path")
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    return arrow_step(spread, step, f"{schema}, tokens array<long>" if with_tokens else schema)
