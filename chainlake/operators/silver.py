@@ -41,7 +41,9 @@ def distinct_events(log: DataFrame) -> DataFrame:
     one row.
     """
     copies = W.partitionBy("diss_id").orderBy("arquivo_origem", "line_number")
-    return log.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
+    named_rows = log.where(~blank(F.col("diss_id")))
+    first = named_rows.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy")
+    return first.unionByName(log.where(blank(F.col("diss_id"))))
 
 
 def as_states(log: DataFrame) -> DataFrame:

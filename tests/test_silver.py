@@ -161,3 +161,11 @@ def test_columns_beyond_the_declared_ones_are_carried_along(spark):
     assert silver.current_state(log).collect()[0]["Fixed rate-Leg 1.x"] == ""
     assert silver.current_state(log, blank_values="keep").collect()[0]["Fixed rate-Leg 1.x"] == "old"
     assert silver.history(log).count() == 2
+
+
+def test_events_without_an_id_of_their_own_are_not_copies(spark):
+    log = spark.createDataFrame(
+        [("", "a", 1), ("", "b", 2), (None, "c", 3), ("x", "a", 4), ("x", "b", 5)], "diss_id string, arquivo_origem string, line_number long"
+    )
+    kept = sorted(r["line_number"] for r in silver.distinct_events(log).collect())
+    assert kept == [1, 2, 3, 4]
