@@ -126,7 +126,7 @@ def edited_pairs(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
     )
     points = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = sorted({float(c) for c in source.where("id IS NOT NULL").approxQuantile("id", points, 0.25 / BUCKETS)})
+    cuts = sorted({float(c) for c in source.where("id IS NOT NULL").approxQuantile("id", points, 0.25 / BUCKETS)}) or [0.0]
     infinite = float("inf")
     place = Bucketizer(splits=[-infinite, *cuts, infinite], inputCol="key", outputCol="place")
     dealt = place.transform(source.withColumn("key", F.coalesce(F.col("id").cast("double"), F.lit(-infinite))))
