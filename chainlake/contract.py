@@ -115,6 +115,9 @@ def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
 
 
 # Control log: one record per pipeline step. `dt` stays a string so that it is never inferred as a date.
+# The part of a day of the control log that one batch writes, and writes again when it is replayed.
+LEAF = "lote"
+
 CONTROL = _fields(
     ("timestamp", T.StringType()),
     ("origem", T.StringType()),

@@ -12,10 +12,8 @@ def instant(as_of: datetime | str | Column) -> Column:
     """`as_of` as a timestamp column. Naive datetimes and texts are taken as UTC."""
     if isinstance(as_of, Column):
         return as_of
-    if isinstance(as_of, datetime):
-        aware = as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)
-        return F.lit(aware)
-    return F.to_timestamp(F.lit(as_of))
+    moment = datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc))
 
 
 def utc_day(as_of: datetime | str) -> date:
@@ -29,17 +27,22 @@ def age_hours(as_of: datetime | str | Column, start: Column) -> Column:
     return (F.unix_micros(instant(as_of)) - F.unix_micros(start)) / F.lit(3.6e9)
 
 
+def _utc_text(moment: Column) -> Column:
+    """`moment` in UTC, `yyyy-MM-dd HH:mm:ss[.f]`, counted from the epoch: the session's zone has no say."""
+    seconds = (F.unix_micros(moment).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return (F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)).cast("string")
+
+
 def partition_day(moment: Column) -> Column:
-    """`dt` of a record written at `moment`."""
-    return F.date_format(moment, "yyyy-MM-dd")
+    """`dt`, the UTC day, of a record written at `moment`."""
+    return F.substring(_utc_text(moment), 1, 10)
 
 
 def iso_text(moment: Column) -> Column:
     """ISO-8601 text with offset, as the control log keeps time; no fraction when it is zero."""
-    whole = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.when(
-        F.unix_micros(moment) % 1_000_000 != 0, F.date_format(moment, ".SSSSSS")
-    ).otherwise("")
+    whole = F.replace(F.substring(_utc_text(moment), 1, 19), F.lit(" "), F.lit("T"))
+    micros = F.pmod(F.unix_micros(moment), F.lit(1_000_000))
+    fraction = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise("")
     return F.concat(whole, fraction, F.lit("+00:00"))
 
 

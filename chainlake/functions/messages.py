@@ -28,6 +28,10 @@ COPY_BODY = (
 )
 PROBLEM_JOINT = "\n- "
 
+# Ours: what the reports' texts above have no words for.
+SHARED_MEMBER = "{arquivos} arquivos contêm um {nome}: um sobrescreveria o outro"
+CHECK_COUNT = "{checagem}: {total} problema(s), um por linha na tabela de problemas"
+CHECKS_BROKEN = "checagens do lote {lote} não concluídas: {erro}"
 # Ours: the job-failure alert, which the job service words itself.
 JOB_SUBJECT = "[{fonte}-pipeline] job falhou"
 JOB_BODY = "Job {job} run {run} terminou em {estado}"

@@ -20,14 +20,36 @@ def decoded_name(file_name: Column) -> Column:
     return F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
 
 
+def address(path: Column) -> Column:
+    """One spelling for a file's address: Hadoop writes a local one with one slash or with three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def arrival_key(path: Column) -> Column:
-    """Deterministic run name of an arrived file: its base name, made safe and cut to length."""
+    """Deterministic run name of an arrived file: its base name, made safe and cut to length.
+
+    A name to show, not an identity: different files may share it.
+    """
     return F.substring(F.regexp_replace(base_name(blank_filled(path)), NAME_SAFE, "-"), 1, NAME_LIMIT)
 
 
 def fixed_point(value: Column, digits: int) -> Column:
-    """`value` as text with `digits` decimals, ties to even (`format_string` would round ties up)."""
-    return F.bround(value, digits).cast(f"decimal(38,{digits})").cast("string")
+    """`value`, a double, as text with 0 or 1 decimals: the exact binary value rounded, true ties to even.
+
+    2.45 as a double lies above the tie and gives 2.5, 0.35 lies below and gives 0.3. Ten times the value is the sum of
+    8 and 2 times it, both exact; what that sum lost in rounding decides where it looks like a tie.
+    """
+    if digits not in (0, 1):
+        raise ValueError("digits must be 0 or 1")
+    value = value.cast("double")
+    if digits == 0:
+        return F.bround(value, 0).cast("decimal(38,0)").cast("string")
+    eight, two = value * 8, value * 2
+    ten = eight + two
+    lost = (eight - (ten - (ten - eight))) + (two - (ten - eight))
+    tie = ten - F.floor(ten) == 0.5
+    whole = F.when(tie & (lost > 0), F.ceil(ten)).when(tie & (lost < 0), F.floor(ten)).otherwise(F.rint(ten))
+    return (whole.cast("decimal(20,0)") / 10).cast("decimal(38,1)").cast("string")
 
 
 def blank(column: Column) -> Column:
@@ -40,6 +62,10 @@ def blank_filled(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))
 
 
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def named(column: str) -> Column:
     """The column of exactly this name, whatever characters it holds."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(quoted(column))

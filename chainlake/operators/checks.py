@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chainlake.contract import CHECK_STAGE, Contract
-from chainlake.functions.dates import age_hours, instant, iso_text, previous_business_day
+from chainlake.functions.dates import age_hours, instant, iso_text, previous_business_day, utc_day
 from chainlake.functions.messages import (
     CHECK_BODY,
+    CHECK_COUNT,
     CHECK_SUBJECT,
     COPY_BODY,
     COPY_SUBJECT,
@@ -26,18 +27,13 @@ from chainlake.functions.status import is_failure, status_from_problems
 from chainlake.functions.text import fixed_point
 from chainlake.sources.control import of_origin, recent, with_execution
 
-PROBLEM_FIELDS = ("checagem", "chave", "problema")
-
-# Most problems one check record carries; more are spread over several records of the same check.
-PROBLEMS_PER_RECORD = 1000
-
 
 def freshness(control: DataFrame, as_of: datetime | str, contract: Contract) -> DataFrame:
     """One problem row if no file was unpacked on the business day before `as_of`, else none.
 
     Only that one day is looked at, so a single gap is reported once.
     """
-    day = previous_business_day(F.to_date(instant(as_of))).cast("string")
+    day = previous_business_day(F.lit(utc_day(as_of))).cast("string")
     log = recent(of_origin(control, contract.start_stage), as_of, contract.lineage_window_days)
     seen = log.agg(F.coalesce(F.bool_or(F.col("timestamp").startswith(day)), F.lit(False)).alias("seen"))
     return seen.where("not seen").select(
@@ -113,7 +109,10 @@ def stuck_runs(runs: DataFrame, as_of: datetime | str, contract: Contract) -> Da
 def check_problems(
     control: DataFrame, runs: DataFrame | None, as_of: datetime | str, contract: Contract
 ) -> DataFrame:
-    """(checagem, chave, problema): the problems of all checks, one per row. No `runs`, no stuck-run check."""
+    """(checagem, chave, problema): the problems of all checks, one per row. No `runs`, no stuck-run check.
+
+    The table beside the check's one record: write it, then give what was written to `check_verdict`.
+    """
     lineage = lineage_gaps(control, as_of, contract).select(
         F.lit("linhagem").alias("checagem"), F.col("execution_id").alias("chave"), "problema"
     )
@@ -126,34 +125,20 @@ def check_problems(
     return problems
 
 
-def check_verdict(
-    control: DataFrame, runs: DataFrame | None, as_of: datetime | str, contract: Contract
-) -> DataFrame:
-    """The check's own control record(s): one, saying `ok` with no problems or `problema` with all of them.
+def check_verdict(problems: DataFrame, as_of: datetime | str) -> DataFrame:
+    """The check's own control record, always one: `ok`, or `problema` with how many problems each check found.
 
-    A bad day at scale may bring millions of problems, too many for one array. They are then spread evenly
-    over as many records as hold about PROBLEMS_PER_RECORD each; none is left out.
+    `problems` is what `check_problems` gives. A bad day may bring any number of them, so they stay rows of that
+    table; the record holds a line for each check, of which there are three.
     """
-    found = check_problems(control, runs, as_of, contract)
-    records = F.greatest(F.lit(1), F.ceil(found.agg(F.count("*")).scalar() / PROBLEMS_PER_RECORD))
-    placed = found.withColumn("record", F.pmod(F.xxhash64(*PROBLEM_FIELDS), records))
-    always = control.sparkSession.range(1).select(
-        F.lit(0).cast("long").alias("record"),
-        *(F.lit(None).cast("string").alias(name) for name in PROBLEM_FIELDS),
-    )
-    entry = F.when(F.col("problema").isNotNull(), F.struct("checagem", "chave", "problema"))
-    gathered = (
-        placed.select("record", *PROBLEM_FIELDS)
-        .unionByName(always)
-        .groupBy("record")
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    )
-    problems = F.col("entries.problema")
+    counts = problems.groupBy("checagem").agg(F.count("*").alias("total"))
+    line = filled(CHECK_COUNT, checagem=F.col("checagem"), total=F.col("total"))
+    gathered = counts.agg(F.sort_array(F.collect_list(line)).alias("problemas"))
     return gathered.select(
         iso_text(instant(as_of)).alias("timestamp"),
         F.lit(CHECK_STAGE).alias("origem"),
-        status_from_problems(problems).alias("status"),
-        problems.alias("problemas"),
+        status_from_problems(F.col("problemas")).alias("status"),
+        "problemas",
     )
 
 
@@ -161,6 +146,7 @@ def check_verdict(
 
 
 def check_alerts(verdict: DataFrame, contract: Contract) -> DataFrame:
+    """One alert per check run that found something."""
     return verdict.where(F.size("problemas") > 0).select(
         filled(CHECK_SUBJECT, fonte=contract.name).alias("subject"),
         filled(CHECK_BODY, problemas=joined(F.col("problemas"))).alias("message"),

@@ -7,21 +7,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chainlake.functions.status import execution_or_new
-from chainlake.functions.text import arrival_key
+from chainlake.functions.text import arrival_key, base_name, blank_filled
 from chainlake.operators.keyed import HOT_ROWS, attach, hot_keys
 from chainlake.sources.control import of_origin
 
 
 def keyed_arrivals(arrivals: DataFrame, by_content: bool = False) -> DataFrame:
-    """Add `chave`, the name a run for this arrival would get.
+    """Add `chave`, the name a run for this arrival would get, and `identidade`, what a redelivery has in common with it.
 
-    By base name alone, a corrected upload under an old name counts as a duplicate. `by_content` adds
-    length and modification time to the key, so that only a true redelivery does.
+    The identity is the whole base name; a run name is cut and made safe, so different files may share one. By base name
+    alone, a corrected upload under an old name counts as a duplicate. `by_content` adds length and modification
+    time, so that only a true redelivery does. A null path has the identity of an empty name.
     """
-    key = arrival_key(F.col("path"))
+    identity = base_name(blank_filled(F.col("path")))
     if by_content:
-        key = F.concat_ws("|", key, F.col("length"), F.unix_micros("modified"))
-    return arrivals.withColumn("chave", key)
+        identity = F.to_json(F.struct(identity.alias("n"), "length", F.unix_micros("modified").alias("m")))
+    return arrivals.withColumns({"chave": arrival_key(F.col("path")), "identidade": identity})
 
 
 def suppress_duplicates(
@@ -33,33 +34,34 @@ def suppress_duplicates(
 ) -> DataFrame:
     """`arrivals` (path, arrived_at, ...) plus `chave` and `duplicado`; a duplicate is reported, not an error.
 
-    The first arrival of a key starts a run, unless the key is among `started`. First is by time, then path,
-    then the `tie` columns, such as a delivery id: rows equal in all of these cannot be told apart and carry
-    the same flag.
+    The first arrival of an identity starts a run, unless it is among `started`, earlier arrivals with the columns the
+    identity is made of. First is by time, then path, then the `tie` columns, such as a delivery id: rows equal in
+    all of these cannot be told apart and carry the same flag.
     """
     keyed = keyed_arrivals(arrivals, by_content)
     place = F.struct("arrived_at", "path", *tie)
-    known = _started(started, keyed)
+    known = _started(started, keyed, by_content)
 
-    # Rows of hot keys stay where they are; the few first arrivals of those keys are broadcast.
-    hot = hot_keys(keyed, "chave", hot_rows)
-    rows = keyed.join(hot, "chave", "left_semi")
-    firsts = rows.groupBy("chave").agg(F.min(place).alias("first")).join(known, "chave", "left")
-    stay = rows.join(F.broadcast(firsts), "chave").withColumn("later", place != F.col("first")).drop("first")
+    # Rows of hot identities stay where they are; the few first arrivals of those are broadcast.
+    hot = hot_keys(keyed, "identidade", hot_rows)
+    rows = keyed.join(hot, "identidade", "left_semi")
+    firsts = rows.groupBy("identidade").agg(F.min(place).alias("first")).join(known, "identidade", "left")
+    stay = rows.join(F.broadcast(firsts), "identidade").withColumn("later", place != F.col("first")).drop("first")
 
     # All others are numbered in a window, whose partitions hold at most `hot_rows` rows each.
-    inside = W.partitionBy("chave").orderBy("arrived_at", "path", *tie)
-    move = keyed.join(hot, "chave", "left_anti").join(known, "chave", "left")
+    inside = W.partitionBy("identidade").orderBy("arrived_at", "path", *tie)
+    move = keyed.join(hot, "identidade", "left_anti").join(known, "identidade", "left")
     move = move.withColumn("later", F.rank().over(inside) > 1)
 
     marked = stay.unionByName(move)
-    return marked.withColumn("duplicado", F.col("later") | F.coalesce("known", F.lit(False))).drop("later", "known")
+    duplicate = F.col("later") | F.coalesce("known", F.lit(False))
+    return marked.withColumn("duplicado", duplicate).drop("later", "known", "identidade")
 
 
-def _started(started: DataFrame | None, keyed: DataFrame) -> DataFrame:
-    """(chave, known): keys of runs already started."""
-    keys = keyed.select("chave").limit(0) if started is None else started.select("chave").distinct()
-    return keys.withColumn("known", F.lit(True))
+def _started(started: DataFrame | None, keyed: DataFrame, by_content: bool) -> DataFrame:
+    """(identidade, known): identities of arrivals whose runs have started."""
+    before = keyed.limit(0) if started is None else keyed_arrivals(started, by_content)
+    return before.select("identidade").distinct().withColumn("known", F.lit(True))
 
 
 def enrich_outcome(events: DataFrame, runs: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def current_state(
     blank_values: str = "row",
     reopen_on: tuple[str, ...] = (),
     drop_annulled: bool = False,
-    dedupe: bool = True,
+    dedupe: bool = False,
 ) -> DataFrame:
     """One row per chain.
 
@@ -80,7 +80,8 @@ def current_state(
     non-blank value standing, column by column.
     reopen_on: actions that, after the last TERM, open a closed chain again; by default it stays closed.
     drop_annulled: leave out chains whose last event is an annulment.
-    dedupe: count a repeated event once.
+    dedupe: count a repeated event once, by its first copy. By default every copy counts and the last one stands, as
+    the fold of a stream does: no shuffle beyond the fold's own, and no difference between the two.
     """
     if blank_values not in ("row", "keep"):
         raise ValueError(f"blank_values must be 'row' or 'keep', not {blank_values!r}")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chainlake.functions.chain import amount
@@ -185,11 +186,71 @@ def archive_events(spark, sf_dir):
     return shown_bronze(csv_events.read_events(spark, raw))
 
 
-# ======== reports ========
+@query(f"""
+SELECT arquivo_origem, row_number() OVER (PARTITION BY arquivo_origem ORDER BY line_number) - 1 AS line_number,
+  CASE WHEN odd THEN '' ELSE action END AS action, CASE WHEN odd THEN action ELSE '' END AS code
+FROM (SELECT action, line_number, line_number // {s.FILE_ROWS} % 2 = 1 AS odd,
+  lpad(CAST(line_number // {s.FILE_ROWS} AS VARCHAR), 3, '0') AS arquivo_origem FROM ({s.EVENT_LOG_SQL}))""")
+def bronze_mixed_layouts(spark, sf_dir):
+    """Files of two layouts, named by numbers with leading zeros, loaded in two runs and read without a schema."""
+    target = work_folder(spark, "bronze")
+    rows = s.bronze_log(spark, sf_dir).withColumn("file", F.floor(F.col("line_number") / s.FILE_ROWS))
+    within = F.row_number().over(W.partitionBy("file").orderBy("line_number")) - 1
+    placed = rows.select(
+        F.col(SOURCE.columns.action).alias("action"), F.lpad(F.col("file").cast("string"), 3, "0").alias("arquivo_origem"),
+        within.cast("long").alias("line_number"), F.current_timestamp().alias("ingerido_em"), (F.col("file") % 2 == 1).alias("odd"),
+    )
+    bronze.write_bronze(placed.where("not odd").drop("odd"), target)
+    bronze.write_bronze(placed.where("odd").drop("odd").withColumnRenamed("action", "code"), target)
+    return bronze.read_bronze(spark, target).select("arquivo_origem", "line_number", "action", "code")
+
+
+@query(f"""
+SELECT replace(name, '.csv', '.zip') AS archive, part, NOT bad AS claimed
+FROM ({ARCHIVE_FILES_SQL}), (VALUES ('a'), ('b')) v(part)""")
+def archive_collisions(spark, sf_dir):
+    """The same members in archives of two folders: whatever claims one file with another says so."""
+    folders = [s.write_csv_files(spark, sf_dir, f"{work_folder(spark, 'zip')}/{part}", as_zip=True) for part in "ab"]
+    found = archives.unpack_archives(spark, folders, work_folder(spark, "raw"))
+    claimed = F.col("problema").contains("contêm um")
+    return found.select(base_name(F.col("path")).alias("archive"), F.element_at(F.split("path", "/"), -2).alias("part"), claimed.alias("claimed"))
+
+
+@query(f"""
+SELECT name AS arquivo_origem, n AS linhas, 'ex-' || replace(name, '.csv', '.zip') AS execution_id
+FROM ({ARCHIVE_FILES_SQL}) WHERE NOT bad""")
+def archive_correlation(spark, sf_dir):
+    """Archives unpacked and recorded, the files counted, and each count tied to its unpacking by the file's address."""
+    zips = s.write_csv_files(spark, sf_dir, work_folder(spark, "zip"), as_zip=True)
+    raw, log = work_folder(spark, "raw"), work_folder(spark, "control")
+    unpacked = archives.unpack_archives(spark, zips, raw).where("problema is null")
+    named = unpacked.withColumn("execution_id", F.concat(F.lit("ex-"), base_name(F.col("path"))))
+    append_control(unpack_records(named, SOURCE), log)
+    counted = csv_events.count_records(spark, raw)
+    found = correlate.correlate(counted, read_control(spark, log), SOURCE.start_stage)
+    return found.select("arquivo_origem", "linhas", "execution_id")
+
+
+@query(f"""
+SELECT ordinal, replace(name, '.csv', '.zip') AS archive
+FROM (SELECT *, row_number() OVER (ORDER BY again, name DESC) - 1 AS ordinal
+  FROM ({ARCHIVE_FILES_SQL}), (VALUES (0), (1)) v(again))""")
+def archives_in_order(spark, sf_dir):
+    """Every archive asked for twice, in falling order of names."""
+    folder = s.write_csv_files(spark, sf_dir, work_folder(spark, "zip"), as_zip=True)
+    found = archives.read_archives(spark, folder)
+    names_ = s.bronze_log(spark, sf_dir).select(F.floor(F.col("line_number") / s.FILE_ROWS).alias("file")).distinct()
+    first = names_.agg(F.max("file")).scalar() - F.col("file")
+    second = first + names_.agg(F.count("*")).scalar()
+    place = names_.select("file", first.alias("first"), second.alias("second")).select(
+        F.explode(F.array("first", "second")).alias("ordinal"),
+        F.concat(F.lit(f"{folder}/EVENTS "), F.lpad(F.col("file").cast("string"), 8, "0"), F.lit(".zip")).alias("path"),
+    )
+    asked = archives.in_input_order(found, place)
+    return asked.select("ordinal", base_name(F.col("path")).alias("archive"))
 
 
-def control_report(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: report(s.control_log(spark, sf_dir))
+# ======== reports ========
 
 
 @query(f"SELECT arquivo_origem, count(*) AS linhas FROM ({s.EVENT_LOG_SQL}) GROUP BY 1")
@@ -601,19 +662,36 @@ def stuck_runs(spark, sf_dir):
 
 
 PROBLEMS_SQL = f"""
-SELECT {GAP_TEXT_SQL} AS problema FROM ({GAPS_SQL.format(cut='2024-01-27')})
-UNION ALL SELECT {STUCK_TEXT_SQL} FROM ({STUCK_SQL})
-UNION ALL SELECT 'nenhuma execução em 2024-01-29 (dia útil) -- ingestão não rodou'
+SELECT 'linhagem' AS checagem, {GAP_TEXT_SQL} AS problema FROM ({GAPS_SQL.format(cut='2024-01-27')})
+UNION ALL SELECT 'travadas', {STUCK_TEXT_SQL} FROM ({STUCK_SQL})
+UNION ALL SELECT 'atualidade', 'nenhuma execução em 2024-01-29 (dia útil) -- ingestão não rodou'
   WHERE NOT EXISTS (SELECT 1 FROM ({s.CONTROL_LOG_SQL}) WHERE origem = '{SOURCE.start_stage}' AND dt = '2024-01-29')"""
 
 
+@query(f"SELECT checagem, problema FROM ({PROBLEMS_SQL})")
+def check_problems(spark, sf_dir):
+    found = checks.check_problems(s.control_log(spark, sf_dir), s.running(spark, sf_dir), AS_OF, SOURCE)
+    return found.select("checagem", "problema")
+
+
+CHECK_LINES_SQL = f"""
+SELECT checagem || ': ' || count(*) || ' problema(s), um por linha na tabela de problemas' AS line
+FROM ({PROBLEMS_SQL}) GROUP BY checagem"""
+
+
 @query(f"""
-SELECT '2024-01-30T12:00:00+00:00' AS "timestamp", 'checar_pipeline' AS origem, 'problema' AS status, problema
-FROM ({PROBLEMS_SQL})""")
+SELECT '2024-01-30T12:00:00+00:00' AS "timestamp", 'checar_pipeline' AS origem,
+  CASE WHEN count(*) > 0 THEN 'problema' ELSE 'ok' END AS status,
+  coalesce(string_agg(line, '; ' ORDER BY line), '') AS problemas
+FROM ({CHECK_LINES_SQL})""")
 def check_verdict(spark, sf_dir):
-    """The check's control records, one row per problem in them."""
-    verdict = checks.check_verdict(s.control_log(spark, sf_dir), s.running(spark, sf_dir), AS_OF, SOURCE)
-    return verdict.select("timestamp", "origem", "status", F.explode("problemas").alias("problema"))
+    """The check's one control record."""
+    return checked_run(spark, sf_dir).withColumn("problemas", F.array_join("problemas", "; "))
+
+
+def checked_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = checks.check_problems(s.control_log(spark, sf_dir), s.running(spark, sf_dir), AS_OF, SOURCE)
+    return checks.check_verdict(found, AS_OF)
 
 
 @query(f"""
@@ -624,13 +702,12 @@ def failure_alerts(spark, sf_dir):
 
 
 @query(f"""
-SELECT '[swaps-pipeline] atualidade/linhagem: problema encontrado' AS subject, problema AS line FROM ({PROBLEMS_SQL})""")
+SELECT '[swaps-pipeline] atualidade/linhagem: problema encontrado' AS subject,
+  'Problemas encontrados:' || chr(10) || '- ' || string_agg(line, chr(10) || '- ' ORDER BY line) AS message
+FROM ({CHECK_LINES_SQL}) HAVING count(*) > 0""")
 def check_alerts(spark, sf_dir):
-    """Alerts of the check, one row per line of their bodies."""
-    verdict = checks.check_verdict(s.control_log(spark, sf_dir), s.running(spark, sf_dir), AS_OF, SOURCE)
-    alerts = checks.check_alerts(verdict, SOURCE)
-    lines = F.split("message", "\n- ")
-    return alerts.select("subject", F.explode(F.slice(lines, 2, F.size(lines))).alias("line"))
+    """The one alert of the run."""
+    return checks.check_alerts(checked_run(spark, sf_dir), SOURCE)
 
 
 @query("""
@@ -661,7 +738,7 @@ SELECT path, {sql_time('arrived_at')} AS arrived_at, chave,
 FROM ({ARRIVALS_SQL})""")
 def duplicate_arrivals(spark, sf_dir):
     busy = s.table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'")
-    started = busy.select(F.concat(F.lit("click-"), "c_custkey", F.lit("-zip")).alias("chave"))
+    started = busy.select(F.concat(F.lit("earlier/click "), "c_custkey", F.lit(".zip")).alias("path"))
     found = correlate.suppress_duplicates(s.arrivals(spark, sf_dir), started)
     return found.select("path", time_text("arrived_at").alias("arrived_at"), "chave", "duplicado")
 
@@ -713,11 +790,16 @@ FROM (SELECT *, bool_or(action = 'TERM') OVER c AS encerrada, bool_or(action = '
   FROM ({log}) WINDOW c AS (PARTITION BY chain)) WHERE back = 1"""
 
 
-@query(state_sql(s.DISTINCT_LOG_SQL))
+@query(state_sql(s.EVENT_LOG_SQL))
 def current_state(spark, sf_dir):
     return shown_state(silver.current_state(typed(spark, sf_dir)))
 
 
+@query(state_sql(s.DISTINCT_LOG_SQL))
+def current_state_first_copies(spark, sf_dir):
+    return shown_state(silver.current_state(typed(spark, sf_dir), dedupe=True))
+
+
 @query(state_sql(s.EVENT_LOG_SQL))
 def current_state_all_copies(spark, sf_dir):
     return shown_state(silver.current_state(typed(spark, sf_dir), dedupe=False))
@@ -731,13 +813,13 @@ SELECT chain, arg_max(action, o) AS action, arg_max(diss_id, o) AS diss_id,
 FROM (SELECT *, epoch_us(event_ts) * 10 AS o FROM ({s.DISTINCT_LOG_SQL})) GROUP BY chain""")
 def current_state_nonblank(spark, sf_dir):
     """Blanks never overwrite, and a modification after a termination opens the chain again."""
-    found = silver.current_state(typed(spark, sf_dir), blank_values="keep", reopen_on=("MODI",))
+    found = silver.current_state(typed(spark, sf_dir), blank_values="keep", reopen_on=("MODI",), dedupe=True)
     return found.select("chain", "action", "diss_id", "notional", "product", "encerrada")
 
 
 @query(f"SELECT * FROM ({state_sql(s.DISTINCT_LOG_SQL)}) WHERE action <> 'EROR'")
 def current_state_unannulled(spark, sf_dir):
-    return shown_state(silver.current_state(typed(spark, sf_dir), drop_annulled=True))
+    return shown_state(silver.current_state(typed(spark, sf_dir), drop_annulled=True, dedupe=True))
 
 
 @query(f"SELECT diss_id, arquivo_origem, line_number FROM ({s.DISTINCT_LOG_SQL})")
@@ -867,6 +949,23 @@ def stream_checks(spark, sf_dir):
     return read_control(spark, log).groupBy("origem", "regra").agg(F.count("*").alias("registros"))
 
 
+@query(f"""
+SELECT 'quality_check' AS origem, count(*) AS registros FROM ({ARCHIVE_FILES_SQL})
+UNION ALL SELECT 'glue_data_quality', 8 * count(*) FROM ({ARCHIVE_FILES_SQL})""")
+def stream_replay(spark, sf_dir):
+    """One batch processed twice leaves its records once."""
+    raw, log = csv_folder(spark, sf_dir), work_folder(spark, "control")
+    layout = csv_events.discover_layout(spark, raw)
+    scan = csv_events.records(csv_events.csv_options(spark.read, layout.width).csv(raw))
+    rows = csv_events.with_ingest_time(csv_events.aligned(scan, layout.columns, layout.width, marks=True))
+    # A batch that is not a stream's has no instant of its own; its replay must bear the first one's.
+    batch = rows.withColumn("ingerido_em", F.to_timestamp(F.lit(AS_OF)))
+    step = ingest.process_batch(SOURCE, work_folder(spark, "bronze"), log)
+    for _ in range(2):
+        step(batch, 0)
+    return read_control(spark, log).groupBy("origem").agg(F.count("*").alias("registros"))
+
+
 @query(f"""
 SELECT name AS arquivo, stage AS origem, 1 AS execucoes FROM ({ARCHIVE_FILES_SQL}),
   (VALUES ('{SOURCE.start_stage}'), ('glue_data_quality'), ('quality_check')) v(stage) WHERE NOT bad""")

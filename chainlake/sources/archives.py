@@ -14,10 +14,12 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chainlake.functions.messages import BAD_ARCHIVE, filled
-from chainlake.sources.store import open_store
+from chainlake.functions.messages import BAD_ARCHIVE, SHARED_MEMBER, filled
+from chainlake.functions.text import address
+from chainlake.sources.store import open_store, qualified
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 MEMBER_SCHEMA = "path string, member string, bytes long, n_csv int, found string, content binary"
@@ -77,11 +79,20 @@ def read_archives(spark: SparkSession, paths: str | list[str], with_content: boo
     return members if with_content else members.drop("content")
 
 
-def in_input_order(archives: DataFrame, paths: list[str]) -> DataFrame:
-    """Results in the order the archives were asked for, as an `ordinal` column."""
-    plain = F.regexp_replace("path", "^file:/+", "/")
-    asked = F.array(*(F.lit(p) for p in paths))
-    return archives.withColumn("ordinal", (F.array_position(asked, plain) - 1).cast("int"))
+def in_input_order(archives: DataFrame, paths: DataFrame | list[str]) -> DataFrame:
+    """Results with the `ordinal` at which each was asked for; one asked for twice comes twice.
+
+    `paths` is a list or a table (ordinal, path). An archive nobody asked for has a null ordinal; a path without
+    an archive gives no row.
+    """
+    if not isinstance(paths, DataFrame):
+        paths = archives.sparkSession.createDataFrame(list(enumerate(paths)), "ordinal int, path string")
+    asked = paths.select("ordinal", _plain("path").alias("plain"))
+    return archives.withColumn("plain", _plain("path")).join(asked, "plain", "left").drop("plain")
+
+
+def _plain(path: str):
+    return F.regexp_replace(path, "^file:/+", "/")
 
 
 def checked(archives: DataFrame) -> DataFrame:
@@ -98,10 +109,15 @@ def unpack_archives(spark: SparkSession, paths: str | list[str], raw_dir: str) -
 def unpack(files: DataFrame, raw_dir: str) -> DataFrame:
     """`read_archives` on the given files, writing each member below `raw_dir` as `destino`.
 
+    Archives whose members have the same name claim one file; all of them get a `problema` that says so. `destino` is
+    the file's full address, as `count_records` gives it.
+
     Streams the member to a private name and renames it, so a retried or speculative task leaves the same
     whole file. The writes happen when the result is evaluated; write the result once, then read it.
     """
 
+    raw_dir = qualified(files.sparkSession, raw_dir)
+
     def write(member: str, archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> None:
         store, root = open_store(raw_dir)
         store.create_dir(root)
@@ -111,5 +127,9 @@ def unpack(files: DataFrame, raw_dir: str) -> DataFrame:
         store.move(private, f"{root}/{member}")
 
     members = _described(files.select("path", "content").mapInArrow(_open_members(write), MEMBER_SCHEMA))
-    destination = F.concat(F.lit(raw_dir.rstrip("/") + "/"), "member")
-    return members.drop("content").withColumn("destino", destination)
+    destination = address(F.concat(F.lit(raw_dir.rstrip("/") + "/"), "member"))
+    written = members.drop("content").withColumn("destino", destination)
+    # Of files only: rows without a destination would meet in one group of the window.
+    claimed = F.count("*").over(W.partitionBy(F.coalesce("destino", "path")))
+    shared = F.when(claimed > 1, filled(SHARED_MEMBER, nome=F.col("member"), arquivos=claimed))
+    return written.withColumn("problema", F.coalesce("problema", shared))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainlake.contract import PROVENANCE
-from chainlake.functions.text import named
+from chainlake.functions.text import named, quoted
 
 
 def write_bronze(df: DataFrame, path: str) -> None:
@@ -33,11 +33,15 @@ def bronze_schema(columns: tuple[str, ...]) -> T.StructType:
 
 
 def read_bronze(spark: SparkSession, path: str, columns: tuple[str, ...] | None = None) -> DataFrame:
-    """Bronze rows. With `columns`, a fixed view over files of several layouts, absent ones blank."""
+    """Bronze rows over files of several layouts: the columns of all of them, or just `columns`; absent ones blank.
+
+    Without `columns` Spark merges the schemas of the footers in a job of its own; a given list saves that. File
+    names are read as the texts they are: `007` and `7` are two files.
+    """
     if columns is None:
-        df = spark.read.parquet(path)
-        return df.withColumn("arquivo_origem", F.col("arquivo_origem").cast("string"))
-    return spark.read.schema(bronze_schema(columns)).parquet(path).na.fill("", list(columns))
+        found = spark.read.option("mergeSchema", True).parquet(path).columns
+        columns = tuple(c for c in found if c not in PROVENANCE)
+    return spark.read.schema(bronze_schema(columns)).parquet(path).na.fill("", [*map(quoted, columns)])
 
 
 def projected(bronze: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+import uuid
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlake import contract as names
-from chainlake.contract import CONTROL, Contract
+from chainlake.contract import CONTROL, LEAF, Contract
 from chainlake.functions.dates import instant, iso_text, partition_day, utc_day
 from chainlake.functions.status import (
     identified,
@@ -22,13 +23,29 @@ def read_control(
     spark: SparkSession, path: str, as_of: datetime | str | None = None, days: int | None = None
 ) -> DataFrame:
     """The log, or its last `days` days up to `as_of`, today included; older partitions are not listed."""
-    log = spark.read.schema(CONTROL).json(path)
+    log = spark.read.schema(CONTROL).json(path).select(*CONTROL.names)
     return log if days is None else recent(log, as_of, days)
 
 
-def append_control(records: DataFrame, path: str, written_at: datetime | str | Column | None = None) -> None:
+def batch_time(batch: DataFrame, column: str) -> datetime | None:
+    """The instant of a micro-batch, which its replay has too: any row's `column`, filled by `current_timestamp`."""
+    moment = batch.agg(F.unix_micros(F.min(column)).alias("at")).first()["at"]
+    return None if moment is None else datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=moment)
+
+
+def batch_leaf(batch: DataFrame, batch_id: int, writer: str) -> str:
+    """A name for what `writer` records of a micro-batch: the same on a replay, another for another checkpoint."""
+    stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{writer}-{stream or 'direct'}-{batch_id}"
+
+
+def append_control(
+    records: DataFrame, path: str, written_at: datetime | str | Column | None = None, leaf: str | None = None
+) -> None:
     """Append a batch of records of any kind; fields a kind lacks stay null.
 
+    What is written lies in a leaf of its day. Writing a leaf again replaces it, so a batch replayed under
+    its own leaf and instant leaves its records once; without a `leaf` the batch gets a new one.
     `dt` is the UTC day of writing. The rebalance lets AQE size the files, so that the log grows neither by
     one object per record nor by one file per task, and a large batch still has many writers.
     """
@@ -40,7 +57,9 @@ def append_control(records: DataFrame, path: str, written_at: datetime | str | C
     stamped = whole.withColumn("dt", partition_day(moment)).withColumn(
         "timestamp", F.coalesce("timestamp", iso_text(moment))
     )
-    stamped.hint("rebalance", "dt").write.mode("append").partitionBy("dt").json(path)
+    leaves = stamped.withColumn(LEAF, F.lit(leaf or uuid.uuid4().hex))
+    writer = leaves.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("dt", LEAF).json(path)
 
 
 def of_origin(control: DataFrame, *origins: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainlake.functions.text import decoded_name
+from chainlake.functions.text import address, decoded_name
 
 BROKEN = "_record"
 SLOT = "_c"
@@ -130,7 +130,8 @@ def _header_of(record: dict, path: str, columns: tuple[str, ...], width: int) ->
     if len(cells) > width:
         raise ValueError(f"{path}: header has {len(cells)} columns, the scan was given {width}")
     header = header_names(cells)
-    unknown = {n for n in header if n not in columns and not n.startswith(SLOT)}
+    # A column without a name of its own has the one of its place, which a given layout need not list.
+    unknown = {n for i, n in enumerate(header) if n not in columns and (cells[i] or "").lstrip("\ufeff")}
     if unknown:
         raise ValueError(f"{path}: columns {sorted(unknown)} are not in the layout the scan was given")
     return header
@@ -204,6 +205,8 @@ def read_events(
 def count_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(csv, arquivo_origem, linhas): data records per file, 0 for a file that holds a header only.
 
+    `csv` is the address that unpacking leaves as `destino`, so that both can be joined.
+
     Counts parsed records, not line ends: a quoted field may span lines.
     """
     scan = csv_options(spark.read, 1).csv(paths)
@@ -211,7 +214,7 @@ def count_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return (
         scan.where(~blank_line)
         .select(
-            F.col("_metadata.file_path").alias("csv"),
+            address(decoded_name(F.col("_metadata.file_path"))).alias("csv"),
             decoded_name(F.col("_metadata.file_name")).alias("arquivo_origem"),
         )
         .groupBy("csv", "arquivo_origem")

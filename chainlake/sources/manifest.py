@@ -55,8 +55,10 @@ def source_listing(spark: SparkSession, root: str) -> DataFrame:
 
 def _paths_below(listing: DataFrame, root: str) -> DataFrame:
     """(origem): the listed paths relative to `root`."""
-    prefix = f"^(file:/+)?{root.removeprefix('file:').strip('/')}/"
-    return listing.select(F.regexp_replace(F.ltrim("path", F.lit("/")), prefix, "").alias("origem"))
+    plain = F.ltrim(F.regexp_replace("path", "^file:/+", "/"), F.lit("/"))
+    folder = root.removeprefix("file:").strip("/") + "/"
+    below = F.when(plain.startswith(folder), F.substr(plain, F.lit(len(folder) + 1))).otherwise(plain)
+    return listing.select(below.alias("origem"))
 
 
 def missing_sources(manifest: DataFrame, listing: DataFrame, root: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from chainlake.contract import CONTROL, Contract
+from chainlake.contract import CONTROL, LEAF, Contract
 
 
 def bronze_ddl(table: str, location: str, contract: Contract) -> str:
@@ -19,8 +19,8 @@ def bronze_ddl(table: str, location: str, contract: Contract) -> str:
 def control_ddl(table: str, location: str) -> str:
     fields = ",\n  ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in CONTROL.fields)
     return (
-        f"CREATE TABLE IF NOT EXISTS {table} (\n  {fields}\n) USING json\n"
-        f"PARTITIONED BY (dt)\nLOCATION '{location}'"
+        f"CREATE TABLE IF NOT EXISTS {table} (\n  {fields},\n  {LEAF} string\n) USING json\n"
+        f"PARTITIONED BY (dt, {LEAF})\nLOCATION '{location}'"
     )
 
 

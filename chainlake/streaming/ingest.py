@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chainlake.contract import CONTROL, PROVENANCE, Contract
+from chainlake.contract import CHECK_STAGE, CONTROL, PROVENANCE, VOLUME_STAGE, Contract
+from chainlake.functions.messages import CHECKS_BROKEN
+from chainlake.functions.status import PROBLEM
 from chainlake.functions.text import named
 from chainlake.operators.correlate import correlate
 from chainlake.operators.quality import evaluate, ruleset
@@ -20,6 +23,8 @@ from chainlake.sources.archives import archive_files, unpack
 from chainlake.sources.bronze import write_bronze
 from chainlake.sources.control import (
     append_control,
+    batch_leaf,
+    batch_time,
     read_control,
     rule_records,
     unpack_records,
@@ -47,11 +52,13 @@ def process_batch(
     contract: Contract,
     bronze_path: str,
     control_path: str | None = None,
-    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    clock: Callable[[], datetime] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` step: write Bronze, then record rule outcomes and the volume verdict.
 
-    The batch is kept for the checks so that the CSV is parsed once; the trigger's limit bounds its size.
+    The batch is kept for the checks so that the CSV is parsed once; the trigger's limit bounds its size. Records
+    bear the micro-batch's own instant, or the `clock`'s, and a replay replaces them. Checks that fail leave a
+    record of that, and the load stands.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -59,16 +66,29 @@ def process_batch(
         try:
             write_bronze(batch.where(F.col("line_number") != MARK), bronze_path)
             if control_path is not None:
+                leaf = batch_leaf(batch, batch_id, VOLUME_STAGE)
+                at = clock() if clock else batch_time(batch, "ingerido_em")
+                if at is None:  # nothing came
+                    return
                 try:
-                    append_control(check_records(batch, batch_id, contract, control_path, clock()), control_path)
-                except Exception:  # a check that breaks must not undo or block the load
+                    append_control(check_records(batch, batch_id, contract, control_path, at), control_path, at, leaf)
+                except Exception as error:  # a check that breaks must not undo or block the load
                     log.exception("checks of batch %s failed; its rows are in Bronze", batch_id)
+                    append_control(broken_records(batch, batch_id, error), control_path, at, leaf)
         finally:
             batch.unpersist()
 
     return step
 
 
+def broken_records(batch: DataFrame, batch_id: int, error: Exception) -> DataFrame:
+    """(origem, csv, status, problemas): for each file of a batch, that its checks did not come to an end."""
+    text = CHECKS_BROKEN.format(lote=batch_id, erro=type(error).__name__)
+    return batch.select(F.col("arquivo_origem").alias("csv")).distinct().select(
+        F.lit(CHECK_STAGE).alias("origem"), "csv", F.lit(PROBLEM).alias("status"), F.array(F.lit(text)).alias("problemas")
+    )
+
+
 def check_records(
     batch: DataFrame, batch_id: int, contract: Contract, control_path: str, as_of: datetime
 ) -> DataFrame:
@@ -80,7 +100,10 @@ def check_records(
     spark = batch.sparkSession
     try:
         control = read_control(spark, control_path)
-    except Exception:  # first batch: no log yet
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # The first batch: no log yet.
         control = spark.createDataFrame([], CONTROL)
     rows = batch.where(F.col("line_number") != MARK)
     columns = [c for c in batch.columns if c not in PROVENANCE]
@@ -110,7 +133,7 @@ def ingest_stream(
     bronze_path: str,
     control_path: str | None = None,
     files_per_trigger: int | None = None,
-    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    clock: Callable[[], datetime] | None = None,
 ) -> StreamingQuery:
     """Process all files not yet processed under this checkpoint, then stop. A new checkpoint starts over."""
     rows = stream_events(spark, path, layout, files_per_trigger)
@@ -149,11 +172,12 @@ def unpack_stream(
                 "execution_id": F.md5(F.concat_ws("|", "path", F.lit(batch_id))),
             }
         )
-        append_control(unpack_records(done, contract), control_path)
+        leaf = batch_leaf(batch, batch_id, contract.start_stage)
+        append_control(unpack_records(done, contract), control_path, batch_time(batch, "lido_em"), leaf)
 
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
     return (
-        archive_files(reader, path)
+        archive_files(reader, path).withColumn("lido_em", F.current_timestamp())
         .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chainlake.contract import Contract
+from chainlake.contract import JOB_STAGE, Contract
 from chainlake.functions.status import is_terminal
 from chainlake.operators.correlate import enrich_outcome, keyed_arrivals
-from chainlake.sources.control import append_control, outcome_records
+from chainlake.sources.control import append_control, batch_leaf, batch_time, outcome_records
 
 
 def first_arrivals(arrivals: DataFrame, horizon: str = "7 days", by_content: bool = False) -> DataFrame:
-    """Arrivals (path, arrived_at, ...) without redeliveries; each key is remembered for `horizon`."""
+    """Arrivals (path, arrived_at, ...) without redeliveries; each whole name is remembered for `horizon`."""
     keyed = keyed_arrivals(arrivals, by_content).withWatermark("arrived_at", horizon)
-    return keyed.dropDuplicatesWithinWatermark(["chave"])
+    return keyed.dropDuplicatesWithinWatermark(["identidade"]).drop("identidade")
 
 
 def outcome_stream(events: DataFrame, runs: DataFrame) -> DataFrame:
@@ -30,10 +30,11 @@ def record_outcomes(events: DataFrame, runs: DataFrame, control_path: str, check
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        append_control(outcome_records(batch), control_path)
+        records = outcome_records(batch.drop("gravado_em"))
+        append_control(records, control_path, batch_time(batch, "gravado_em"), batch_leaf(batch, batch_id, JOB_STAGE))
 
     return (
-        outcome_stream(events, runs)
+        outcome_stream(events, runs).withColumn("gravado_em", F.current_timestamp())
         .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

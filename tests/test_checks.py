@@ -227,29 +227,33 @@ def test_stuck_runs(spark):
 
 def test_check_verdict_with_and_without_problems(spark):
     log = control(spark, *started("2026-10-05T07:00:00+00:00", "e1", STAGES[:1]))
-    (record,) = checks.check_verdict(log, None, TODAY, SOURCE).collect()
+    found = checks.check_problems(log, None, TODAY, SOURCE)
+    (record,) = checks.check_verdict(found, TODAY).collect()
     assert record["status"] == "problema" and record["timestamp"] == "2026-10-05T12:00:00+00:00"
-    assert record["problemas"] == [
+    assert [r["problema"] for r in found.orderBy("checagem").collect()] == [
         "nenhuma execução em 2026-10-02 (dia útil) -- ingestão não rodou",
         "execução e1 (iniciada há 5.0h) sem etapa(s): glue_data_quality, glue_job, quality_check",
     ]
-    (alert,) = checks.check_alerts(checks.check_verdict(log, None, TODAY, SOURCE), SOURCE).collect()
+    (alert,) = checks.check_alerts(checks.check_verdict(found, TODAY), SOURCE).collect()
     assert alert["subject"] == "[swaps-pipeline] atualidade/linhagem: problema encontrado"
-    assert alert["message"].startswith("Problemas encontrados:\n- nenhuma execução")
+    assert alert["message"].startswith("Problemas encontrados:\n- atualidade: 1 problema(s)")
 
     good = control(spark, *started("2026-10-02T07:00:00+00:00", "e1", STAGES))
-    verdict_ = checks.check_verdict(good, None, TODAY, SOURCE)
+    verdict_ = checks.check_verdict(checks.check_problems(good, None, TODAY, SOURCE), TODAY)
     (record,) = verdict_.collect()
     assert (record["status"], record["problemas"]) == ("ok", [])
     assert checks.check_alerts(verdict_, SOURCE).count() == 0
 
 
-def test_many_problems_are_spread_over_records_and_none_is_lost(spark, monkeypatch):
-    monkeypatch.setattr(checks, "PROBLEMS_PER_RECORD", 10)
-    log = control(spark, *(r for i in range(95) for r in started("2026-10-05T07:00:00+00:00", f"e{i}")))
-    records = checks.check_verdict(log, None, TODAY, SOURCE).collect()
-    assert len(records) > 5 and sum(len(r["problemas"]) for r in records) == 96
-    assert {r["status"] for r in records} == {"problema"}
+def test_one_record_however_many_problems(spark):
+    log = control(spark, *(r for i in range(1500) for r in started("2026-10-05T07:00:00+00:00", f"e{i}")))
+    found = checks.check_problems(log, None, TODAY, SOURCE)
+    assert found.count() == 1501
+    (record,) = checks.check_verdict(found, TODAY).collect()
+    assert record["status"] == "problema" and [p.split(" ")[:2] for p in record["problemas"]] == [
+        ["atualidade:", "1"], ["linhagem:", "1500"],
+    ]
+    assert checks.check_alerts(checks.check_verdict(found, TODAY), SOURCE).count() == 1
 
 
 # ---- correlation ----
@@ -276,7 +280,7 @@ def test_duplicate_arrivals(spark):
 
     assert flags() == flags(hot_rows=1) == [False, True, False, True]
     assert flags(by_content=True) == [False, False, False, True]
-    began = spark.createDataFrame([("a-zip",), ("a-zip",)], "chave string")
+    began = spark.createDataFrame([("old/a.zip",), ("older/a.zip",)], "path string")
     assert flags(started=began) == [True, True, False, True]
 
 
@@ -311,6 +315,27 @@ def test_correlation_inherits_the_last_id_or_draws_one(spark):
 def test_half_even_numbers_in_messages(spark):
     row = spark.range(1).select(*(text.fixed_point(F.lit(v), d) for v, d in ((2.5, 0), (3.5, 0), (0.25, 1), (18.06, 1)))).collect()[0]
     assert tuple(row) == ("2", "4", "0.2", "18.1")
+    row = spark.range(1).select(*(text.fixed_point(F.lit(v), 1) for v in (2.45, 0.35, 1.05, 24.95))).collect()[0]
+    assert tuple(row) == ("2.5", "0.3", "1.1", "24.9")
+
+
+def test_files_that_share_a_run_name_are_not_duplicates(spark):
+    paths = ["in/A B.zip", "in/A-B.zip", f"in/{'x' * 90}1.zip", f"in/{'x' * 90}2.zip"]
+    came = spark.createDataFrame([(p, "2026-10-02T06:00:00Z") for p in paths], "path string, t string")
+    found = correlate.suppress_duplicates(came.withColumn("arrived_at", F.to_timestamp("t")))
+    assert [r["duplicado"] for r in found.collect()] == [False] * 4
+    assert found.select("chave").distinct().count() == 2
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        moments = (dates.instant("2026-10-05T12:00:00"), dates.instant("2026-10-05T01:00:00.5Z"))
+        row = spark.range(1).select(*map(dates.iso_text, moments), dates.partition_day(moments[1])).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(row) == ("2026-10-05T12:00:00+00:00", "2026-10-05T01:00:00.500000+00:00", "2026-10-05")
 
 
 @pytest.mark.parametrize("hot_rows", [1, 3, 1000])
@@ -332,8 +357,8 @@ def test_a_real_verdict(spark):
                "e4": ("04T17:24", STAGES[2:])}
     rows = [r for e, (t, there) in lacking.items()
             for r in started(f"2026-10-{t}:00+00:00", e, (STAGES[0], *there))]
-    (record,) = checks.check_verdict(control(spark, *rows), None, as_of, SOURCE).collect()
-    assert record["problemas"] == [
+    found = checks.check_problems(control(spark, *rows), None, as_of, SOURCE)
+    assert [r["problema"] for r in found.orderBy("checagem", "chave").collect()] == [
         "nenhuma execução em 2026-10-02 (dia útil) -- ingestão não rodou",
         "execução e1 (iniciada há 18.1h) sem etapa(s): glue_data_quality",
         "execução e2 (iniciada há 19.0h) sem etapa(s): glue_data_quality, quality_check",

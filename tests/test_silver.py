@@ -64,9 +64,9 @@ def test_state_options(spark):
     assert state["20"]["action"] == "EROR"
     assert (state["30"]["tem_origem"], state["10"]["tem_origem"]) == (False, True)
     assert state["40"]["diss_id"] == "42"
-    assert state["50"]["arquivo_origem"] == "d1.csv"
+    assert state["50"]["arquivo_origem"] == "d2.csv"
     assert state["60"]["diss_id"] == "60"
-    assert state_of(spark, MORE, dedupe=False)["50"]["arquivo_origem"] == "d2.csv"
+    assert state_of(spark, MORE, dedupe=True)["50"]["arquivo_origem"] == "d1.csv"
     assert not state_of(spark, MORE, reopen_on=("MODI",))["10"]["encerrada"]
     assert state_of(spark, MORE, reopen_on=("CORR",))["10"]["encerrada"]
     assert "20" not in state_of(spark, MORE, drop_annulled=True)

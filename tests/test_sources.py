@@ -125,12 +125,25 @@ def test_archive_without_csv_is_reported_and_can_fail_the_job(spark, tmp_path):
         archives.checked(found).collect()
 
 
+def test_archives_with_one_member_name_are_reported(spark, tmp_path):
+    folder = archive_of(tmp_path, {"a.zip": {"x.csv": b"x\n1\n"}, "b.zip": {"in/x.csv": b"x\n2\n"}, "c.zip": {"y.csv": b"x\n"}})
+    done = archives.unpack_archives(spark, folder, fresh(tmp_path, "raw")).orderBy("path").collect()
+    assert [r["problema"] is None for r in done] == [False, False, True]
+
+
+def test_an_archive_asked_for_twice_comes_twice(spark, tmp_path):
+    folder = archive_of(tmp_path, {"a.zip": {"a.csv": b"x\n"}, "b.zip": {"b.csv": b"x\n"}})
+    asked = [f"{folder}/b.zip", f"{folder}/a.zip", f"{folder}/b.zip"]
+    found = archives.in_input_order(archives.read_archives(spark, folder), asked).orderBy("ordinal")
+    assert tuples(found.select("ordinal", "member")) == [(0, "b.csv"), (1, "a.csv"), (2, "b.csv")]
+
+
 def test_unpacked_files_are_whole_and_repeatable(spark, tmp_path):
     folder = archive_of(tmp_path, {"a.zip": {"out/a.csv": EDGES}, "bad.zip": {"x.txt": b""}})
     raw = fresh(tmp_path, "raw")
     for _ in range(2):
         done = archives.unpack_archives(spark, folder, raw).where("problema is null").collect()
-    assert [r["destino"] for r in done] == [f"{raw}/a.csv"]
+    assert [r["destino"] for r in done] == [f"file:{raw}/a.csv"]
     assert (tmp_path / raw / "a.csv").read_bytes() == EDGES
 
 
@@ -183,6 +196,23 @@ def test_control_log_appends_mixed_records_and_prunes_days(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
+def test_unknown_column_that_looks_unnamed_is_refused(spark, tmp_path):
+    folder = folder_of(tmp_path, {"a.csv": b"x,_country\n1,BR\n"})
+    with pytest.raises(PySparkException, match="_country"):
+        csv_events.read_events(spark, folder, csv_events.Layout(("x",), 2)).collect()
+    trailing = folder_of(tmp_path, {"b.csv": b"x,\n1,\n"})
+    assert csv_events.read_events(spark, trailing, csv_events.Layout(("x",), 2)).count() == 1
+
+
+def test_bronze_keeps_all_columns_and_file_names(spark, tmp_path):
+    target = fresh(tmp_path, "bronze")
+    for name, column in (("007", "y"), ("7", "z")):
+        row = spark.createDataFrame([("1", "2", name, 0)], f"x string, {column} string, arquivo_origem string, line_number long")
+        bronze.write_bronze(row.withColumn("ingerido_em", F.current_timestamp()), target)
+    stored = bronze.read_bronze(spark, target).select("arquivo_origem", "x", "y", "z").orderBy("arquivo_origem")
+    assert tuples(stored) == [("007", "1", "2", ""), ("7", "1", "", "2")]
+
+
 def test_registered_tables(spark, tmp_path):
     target, log = fresh(tmp_path, "bronze"), fresh(tmp_path, "log")
     source = Contract(name="reg")
