@@ -882,7 +882,7 @@ SELECT product, currency, count(*) AS operacoes, count(*) FILTER (WHERE NOT ence
   CAST(sum(CAST(nullif(notional, '') AS DECIMAL(18,2))) AS VARCHAR) AS volume
 FROM ({state_sql(s.DISTINCT_LOG_SQL)}) GROUP BY product, currency""")
 def volume_by_product(spark, sf_dir):
-    found = silver.current_state(typed(spark, sf_dir)).withColumn("notional", amount(F.col("notional")))
+    found = silver.current_state(typed(spark, sf_dir), dedupe=True).withColumn("notional", amount(F.col("notional")))
     volumes = gold.volume_by_product(found)
     return volumes.withColumn("volume", F.col("volume").cast("decimal(38,2)").cast("string"))
 
