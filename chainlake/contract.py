@@ -29,13 +29,10 @@ ACTIONS = {
     "REVI": "revision",
 }
 
-# Asset classes and regulators the publisher offers.
-ASSET_CLASSES = ("RATES", "CREDITS", "EQUITIES", "FOREX", "COMMODITIES")
-REGULATORS = ("cftc", "sec", "ca")
-
 PROVENANCE = ("arquivo_origem", "line_number", "ingerido_em")
 
 
+# The feed's own column names.
 @dataclass(frozen=True)
 class EventColumns:
     """Names of the raw columns the typed layers read."""
@@ -55,6 +52,7 @@ class EventColumns:
         return dict(self.__dict__)
 
 
+# The defaults are the feed's and its log's own names and limits.
 @dataclass(frozen=True)
 class Contract:
     """Everything that tells one source from another. A second source is a second instance."""
@@ -105,19 +103,15 @@ class Contract:
     def raw_prefix(self) -> str:
         return f"raw/{self.name}/"
 
-    @property
-    def bronze_prefix(self) -> str:
-        return f"bronze/{self.name}/"
-
 
 def _fields(*pairs: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in pairs])
 
 
-# Control log: one record per pipeline step. `dt` stays a string so that it is never inferred as a date.
 # The part of a day of the control log that one batch writes, and writes again when it is replayed.
 LEAF = "lote"
 
+# Control log: one record per pipeline step. `dt` stays a string so that it is never inferred as a date.
 CONTROL = _fields(
     ("timestamp", T.StringType()),
     ("origem", T.StringType()),

@@ -132,10 +132,13 @@ def ingest_stream(
     layout: Layout,
     bronze_path: str,
     control_path: str | None = None,
-    files_per_trigger: int | None = None,
+    files_per_trigger: int | None = 1000,
     clock: Callable[[], datetime] | None = None,
 ) -> StreamingQuery:
-    """Process all files not yet processed under this checkpoint, then stop. A new checkpoint starts over."""
+    """Process all files not yet processed under this checkpoint, then stop. A new checkpoint starts over.
+
+    A backlog comes in batches of `files_per_trigger` files; None takes it all at once.
+    """
     rows = stream_events(spark, path, layout, files_per_trigger)
     return (
         rows.writeStream.foreachBatch(process_batch(contract, bronze_path, control_path, clock))
