@@ -41,7 +41,11 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
     stops = ends[min(shingle, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_digest
     raw = np.frombuffer(b"".join([digest(line[a:b], SEED) for a, b in zip(starts, stops)]), dtype=np.uint8)
-    grid = raw.reshape(-1, 8)
+    return majority(raw.reshape(-1, 8))
+
+
+def majority(grid: np.ndarray) -> int:
+    """The bits set in over half of the hashes, rows of eight bytes, highest first, as a signed long."""
     if len(grid) < MANY:
         counts = np.unpackbits(grid, axis=1).sum(axis=0, dtype=np.int64)
     else:
@@ -120,25 +124,3 @@ def near_duplicates(
     of_print = saved(rooted.join(smallest, "root").select("fingerprint", "component_id"), "classes")
     # Both sides are plain scans: a fingerprint of very many documents is split by AQE.
     return marked.join(of_print, "fingerprint").select(F.col("id").alias(id_column), "fingerprint", "component_id")
-
-
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` whose id is their component's smallest, with all their columns; one row for each such id.
-
-    Of repeated rows of one id the one with the smallest text stays. Rows of a null id have no identity to be
-    judged by and stay.
-    """
-    found = near_duplicates(docs, id_column, text_column).where(F.col(id_column).isNotNull())
-    # What goes is the smaller table, so the texts need no shuffle where it is small enough to broadcast.
-    gone = saved(found.where(F.col(id_column) != F.col("component_id")).select(id_column).distinct(), "copies")
-    first = docs.join(gone, id_column, "left_anti").select(*docs.columns)
-    repeated = saved(found.groupBy(id_column).count().where("count > 1").select(id_column), "repeated")
-    if repeated.isEmpty():
-        return first
-    one = (
-        first.join(repeated, id_column, "left_semi")
-        .groupBy(id_column)
-        .agg(F.min_by(F.struct(*docs.columns), F.struct(text_column)).alias("row"))
-        .select("row.*")
-    )
-    return first.join(repeated, id_column, "left_anti").select(*docs.columns).unionByName(one)

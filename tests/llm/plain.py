@@ -137,3 +137,22 @@ def article(page: str) -> str:
 
 def sha256(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def resembling(docs, k=5, similarity=0.8):
+    """Pairs of documents with the same words, or with so much of their k-word shingles in common; every pair is looked at."""
+    sets = {}
+    for d, text in docs:
+        words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").translate(dict.fromkeys(range(9, 14), " ")).split(" ")
+        words = [w for w in words if w]
+        sets[d] = {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+    holders = {}
+    for d, own in sets.items():
+        for shingle in own:
+            holders.setdefault(shingle, []).append(d)
+    shared = {}
+    for group in holders.values():
+        for i, a in enumerate(group):
+            for b in group[i + 1 :]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    return [(a, b) for (a, b), n in shared.items() if n >= similarity * (len(sets[a]) + len(sets[b]) - n)]

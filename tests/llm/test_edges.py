@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chainlake.llm import language, mixing, perplexity, secret_scan, simhash, sketches, templates, token_files, warc, winnowing
+from chainlake.llm import language, mixing, near_copies, perplexity, secret_scan, simhash, sketches, templates, token_files, warc, winnowing
 from chainlake.llm.queries import tokenizer_path
 
 CLASH = ("id", "row", "words", "start", "size", "bucket", "n", "token", "host", "page", "rate", "probability", "root", "path", "count")
@@ -31,6 +31,7 @@ def others(spark):
 def operators(labels, bench):
     return {
         "simhash": simhash.near_duplicates,
+        "near copies": near_copies.near_copies,
         "winnowing": lambda d: winnowing.contamination(d, bench)[0],
         "sketches": sketches.edited_pairs,
         "mixing": lambda d: mixing.mixture(d)[0],
@@ -41,7 +42,7 @@ def operators(labels, bench):
     }
 
 
-@pytest.mark.parametrize("name", ["simhash", "winnowing", "sketches", "mixing", "perplexity", "secrets", "language", "tokens"])
+@pytest.mark.parametrize("name", ["simhash", "near copies", "winnowing", "sketches", "mixing", "perplexity", "secrets", "language", "tokens"])
 def test_one_row_for_each_row_of_odd_documents(docs, others, name):
     run = operators(*others)[name]
     found = run(docs)

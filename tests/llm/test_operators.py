@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chainlake.llm import components, language, mixing, perplexity, queries, secret_scan, simhash, sketches, templates, token_files, warc, winnowing
+from chainlake.llm import components, language, mixing, near_copies, perplexity, queries, secret_scan, simhash, sketches, templates, token_files, warc, winnowing
 from chainlake.llm.common import WordHashes
 from tests.llm import plain
 from tests.oracle import difference
@@ -69,6 +69,33 @@ def test_components_of_a_chain_a_star_and_a_loop(spark):
     assert components.components(df.where("false"), "a", "b").count() == 0
 
 
+def test_near_copies_query_tables(spark, sf_check):
+    docs = texts(spark, sf_check)
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(spark.read.parquet(f"{sf_check}/documents.parquet")).collect()}
+    edges = plain.resembling(docs)
+    root = plain.roots({d for d, _ in docs}, edges)
+    assert set(found) == set(root)
+    # Every link is checked, so nothing is joined that does not belong together; few links may be missed.
+    assert all(root[d] == root[c] for d, c in found.items())
+    assert sum(found[a] == found[b] for a, b in edges) >= 0.9 * len(edges) > 0
+
+
+def test_near_copies_of_a_cluster(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(400)}" for _ in range(300)]
+    rows = [(0, " ".join(base)), (1, " ".join(base).upper() + " \n")]
+    for i in range(2, 60):
+        words = list(base)
+        for at in rng.sample(range(300), 3):
+            words[at] = f"new{i}"
+        rows.append((i, " ".join(words)))
+    shuffled = list(base)
+    rng.shuffle(shuffled)
+    rows += [(100, " ".join(shuffled)), (101, "a b c"), (102, "A  b c"), (103, "a c b")]
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {d: 0 if d < 60 else {102: 101}.get(d, d) for d, _ in rows}
+
+
 # ======== 2 ========
 
 
