@@ -96,6 +96,29 @@ def test_near_copies_of_a_cluster(spark):
     assert found == {d: 0 if d < 60 else {102: 101}.get(d, d) for d, _ in rows}
 
 
+def test_near_copies_of_an_original_in_the_middle_of_the_ids(spark):
+    """Texts that each resemble one original at 0.8 but not each other, for a small and a large bucket; and all pairs of them."""
+    rng = random.Random(8)
+    rows = []
+    for start, n, size, edits in ((0, 20, 300, 5), (1000, 100, 300, 5), (2000, 100, 100, 2)):
+        base = [f"b{start}x{rng.randrange(400)}" for _ in range(size)]
+        for i in range(n):
+            words = list(base)
+            for at in rng.sample(range(4, size - 4), edits) if i != n // 2 else []:
+                words[at] = f"new{start + i}at{at}"
+            rows.append((start + i, " ".join(words)))
+    edges = plain.resembling(rows)
+    root = plain.roots({d for d, _ in rows}, edges)
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == root and len(set(root.values())) < 10
+
+
+def test_near_copies_miss_no_pair(spark, sf_check):
+    docs = texts(spark, sf_check)
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(spark.read.parquet(f"{sf_check}/documents.parquet")).collect()}
+    assert found == plain.roots({d for d, _ in docs}, plain.resembling(docs))
+
+
 # ======== 2 ========
 
 
