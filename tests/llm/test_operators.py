@@ -319,6 +319,20 @@ def test_classifier_rejects_noise_and_keeps_prose(spark, sf_check):
     assert len(noisy) > 30 and sum(noisy) / len(noisy) < 0.05
 
 
+def test_a_language_with_few_trusted_texts_is_not_judged_by_others(spark):
+    rng = random.Random(4)
+    prose = lambda words: " ".join(rng.choice(words) for _ in range(80))
+    many, few = ["the", "other", "then", "there", "one", "on", "note"], ["qué", "año", "zumo", "jugó", "kiwi", "ávido"]
+    rows = [(i, prose(many), "en") for i in range(60)] + [(100 + i, prose(few), "es") for i in range(30)]
+    rows += [(200 + i, prose(few), None) for i in range(5)] + [(300, "#~^| " * 60, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in [*range(60), *range(100, 105)]], "doc_id long, quality int")
+    found = {r["doc_id"]: r for r in perplexity.scored(docs, labels).collect()}
+    assert [d for d, r in found.items() if not r["kept"]] == [300]
+    assert found[100]["threshold"] is None and found[0]["threshold"] is not None
+    assert perplexity.kept_rows(docs, labels).count() == len(rows) - 1
+
+
 # ======== 8 ========
 
 
