@@ -47,7 +47,9 @@ DROPPED_WORDS = frozenset(
     "newsletter subscribe subscription signup login comment comments disqus reply replies respond share sharing social "
     "related recommended recommendations pagination pager toolbar search contentinfo complementary hidden".split()
 )
-MAIN_WORDS = frozenset("main articlebody".split())
+# Names of one word or of several are whole names: every word of them, numbers aside, must be such a word.
+MAIN_WORDS = frozenset("main content article body text".split())
+HEADER_NAMES = frozenset("header site-header page-header".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""",
@@ -58,11 +60,12 @@ _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
 class Element:
-    __slots__ = ("name", "path", "number", "dropped", "main", "link")
+    __slots__ = ("name", "path", "number", "dropped", "told", "holds", "main", "link")
 
-    def __init__(self, name, path, number, dropped, main, link):
+    def __init__(self, name, path, number, dropped, told, main, link):
         self.name, self.path, self.number = name, path, number
-        self.dropped, self.main, self.link = dropped, main, link
+        # told: this and the elements above whose class, id or role says that they go; holds: has an article or main.
+        self.dropped, self.told, self.holds, self.main, self.link = dropped, told, False, main, link
 
 
 def _number(path: str) -> int:
@@ -74,23 +77,31 @@ def _number(path: str) -> int:
 _facts: dict[tuple, tuple] = {}
 
 
-def _described(name: str, attributes: str) -> tuple[str, bool, bool, bool]:
-    """(label, dropped, main, header) of an element, from its name and its class, id and role."""
+def _words(name: str) -> list[str]:
+    return [w.lower() for w in _WORD.findall(name) if not w.isdigit()]
+
+
+def _described(name: str, attributes: str) -> tuple[str, bool, bool, bool, bool, bool]:
+    """(label, dropped, told, main, header, header by name) of an element: dropped by what it is, told to go by its class, id or role."""
     known = _facts.get((name, attributes))
     if known is None:
         found = {}
         for key, *given in _ATTRIBUTE.findall(attributes):
             found.setdefault(key.lower(), html.unescape("".join(given)))
-        told = [found.get(k, "") for k in ("class", "id", "role", "itemprop")]
-        words = {w.lower() for t in told for w in _WORD.findall(t)} | {t.lower() for t in told}
+        names = [n for k in ("class", "id", "role", "itemprop") for n in found.get(k, "").split()]
+        parts = [_words(n) for n in names]
         style = found.get("style", "").replace(" ", "").lower()
         unseen = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
-        dropped = name in DROPPED or bool(words & DROPPED_WORDS) and name not in ("html", "body", "main") or unseen
-        main = name in ("article", "main") or bool(words & MAIN_WORDS)
+        dropped = name in DROPPED or unseen
+        told = any(p and DROPPED_WORDS.issuperset(p) for p in parts) and name not in ("html", "body", "main")
+        main = name in ("article", "main") or any(
+            p and MAIN_WORDS.issuperset(p) and ("main" in p or "".join(p) == "articlebody") for p in parts
+        )
         label = name + "".join(f".{c}" for c in sorted(found.get("class", "").split()))
         if len(_facts) > 50_000:
             _facts.clear()
-        known = _facts[name, attributes] = (label, dropped, main, name == "header" or "header" in words)
+        called = name not in ("html", "body", "main") and any(n.lower() in HEADER_NAMES for n in names)
+        known = _facts[name, attributes] = (label, dropped, told, main, name == "header", called)
     return known
 
 
@@ -98,11 +109,12 @@ def read_page(page: str) -> tuple[list[tuple[str, int]], list[tuple]]:
     """(tags, blocks) of a page.
 
     tags: (path, number) of every opened element. blocks: (text, slot path, token number, dropped, main, link characters),
-    a block being what stands between two block elements' ends or starts, its white space made one.
+    a block being what stands between two block elements' ends or starts, its white space made one. An element that is only
+    told to go by a name stays where the page's article or main is in it and no other is left.
     """
     tags: list[tuple[str, int]] = []
     blocks: list[tuple] = []
-    root = Element("", "", 0, False, False, False)
+    root = Element("", "", 0, False, (), False, False)
     stack, parts, links = [root], [], 0
 
     def text(raw: str) -> None:
@@ -119,7 +131,7 @@ def read_page(page: str) -> tuple[list[tuple[str, int]], list[tuple]]:
             joined = " ".join("".join(parts).split())
             if joined:
                 at = next(e for e in reversed(stack) if e.name not in INLINE)
-                blocks.append((joined, at.path, _number(at.path + "\0" + joined), at.dropped, at.main, links))
+                blocks.append((joined, at.path, _number(at.path + "\0" + joined), at.dropped, at.main, links, at.told))
             parts.clear()
         links = 0
 
@@ -166,12 +178,13 @@ def read_page(page: str) -> tuple[list[tuple[str, int]], list[tuple]]:
                     break
         if name not in INLINE:
             block()
-        label, dropped, main, header = _described(name, attributes)
+        label, dropped, told, main, header, called = _described(name, attributes)
         above = stack[-1]
         within = above.main or main
         path = f"{above.path}/{label}"
         # A page's header is not an article's.
         dropped = above.dropped or dropped or header and not above.main
+        told = told or called and not above.main
         number = _number(path)
         tags.append((path, number))
         if name in VOID or attributes.endswith("/") and name in ("svg", "path"):
@@ -180,9 +193,16 @@ def read_page(page: str) -> tuple[list[tuple[str, int]], list[tuple]]:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, place)
             place = close.end() if close else end
             continue
-        stack.append(Element(name, path, number, dropped, within, above.link or name == "a"))
+        element = Element(name, path, number, dropped, above.told, within, above.link or name == "a")
+        if told:
+            element.told = (*above.told, element)
+        if main and not dropped:
+            for e in element.told:
+                e.holds = True
+        stack.append(element)
     block()
-    return tags, blocks
+    left = any(main and not dropped and not told for _, _, _, dropped, main, _, told in blocks)
+    return tags, [(*b[:3], b[3] or any(left or not e.holds for e in b[6]), *b[4:6]) for b in blocks]
 
 
 def host_of(url: Column) -> Column:

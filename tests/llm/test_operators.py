@@ -163,6 +163,18 @@ def test_templates_find_repeated_text_and_menus_without_names(spark):
     assert '"in": 0' in hosts["h.example"]["template"] or '"in": null' in hosts["h.example"]["template"]
 
 
+def test_names_that_only_contain_a_telling_word_drop_nothing():
+    told = lambda page: templates.main_text(page, frozenset(), frozenset())
+    for named in ("class='content has-sidebar'", "id='content' class='sidebar-right'", "class='post no-comments'", "class='search-result'"):
+        assert told(f"<body><div {named}><p>Story</p></div><div class='nav-menu'>Go</div></body>") == "Story"
+        assert told(f"<body><article {named}><p>Story</p><div class='comments-2'>Nice</div></article></body>") == "Story"
+    for named in ("sidebar", "header", "banner"):
+        assert told(f"<body><div class='{named}'><p>Lead</p><article><p>Story</p></article></div><div id='menu'>Go</div></body>") == "Story"
+    page = "<body><article><p>Story</p></article><div id='comments'><article><p>Nice</p></article></div><div class='main-nav'>Go</div></body>"
+    assert told(page) == "Story"
+    assert told("<body><aside><article>Card</article></aside><p>Story</p></body>") == "Story"
+
+
 # ======== 3 ========
 
 
