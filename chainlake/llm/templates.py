@@ -4,7 +4,7 @@ Tokens are tags and whole text nodes, told apart by the path of open elements ab
 often on every page of a host form an equivalence class. Classes found on most pages of a host, which hold a tag of
 its skeleton, are its template, nested by their paths; text nodes in them are boilerplate, and what remains are the
 slots. Slots below elements whose name, class or role says what they are (menus, notices, comments, ...), and slots whose
-text is links on the whole host, go; of a page that has an article, what lies in it is kept.
+text is links on the whole host, go; what lies in an article comes before what lies outside, unless that is more.
 """
 
 from __future__ import annotations
@@ -302,19 +302,24 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def main_text(page: str, boilerplate: frozenset, menus: frozenset) -> str:
-    """The blocks of a page that its template leaves and no role excludes, joined by an empty line."""
+    """The blocks of a page that its template leaves and no role excludes, joined by an empty line.
+
+    The template decides everywhere. Of the blocks it leaves, those in an article or main stand alone unless there is more text
+    outside: then the article is a teaser, and all are kept. A page whose article is nothing but the template's (a copy of the
+    host's other pages) keeps its article.
+    """
     _, blocks = read_page(page)
-    has_main = any(main and not dropped for _, _, _, dropped, main, _ in blocks)
+    inside = [b for b in blocks if b[4] and not b[3]]
     kept = []
-    for text, path, number, dropped, main, links in blocks:
-        if dropped or has_main and not main:
-            continue
-        if not has_main and (number in boilerplate or _number(path) in menus or links >= LINK_SHARE * len(text)):
-            continue
-        if has_main and number in boilerplate and links >= LINK_SHARE * len(text):
+    for block in blocks:
+        text, path, number, dropped, main, links = block
+        if dropped or number in boilerplate or _number(path) in menus or not main and links >= LINK_SHARE * len(text):
             continue
-        kept.append(text)
-    return "\n\n".join(kept)
+        kept.append(block)
+    within = [b for b in kept if b[4]]
+    if inside and sum(len(b[0]) for b in within) >= sum(len(b[0]) for b in kept if not b[4]):
+        kept = within or inside
+    return "\n\n".join(b[0] for b in kept)
 
 
 def extracted(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

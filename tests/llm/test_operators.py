@@ -175,6 +175,25 @@ def test_names_that_only_contain_a_telling_word_drop_nothing():
     assert told("<body><aside><article>Card</article></aside><p>Story</p></body>") == "Story"
 
 
+def test_template_decides_inside_articles_too(spark):
+    def page(i):
+        return (
+            f"<html><body><article><h1>Title {i}</h1><p>Story number {i} with words {i * i}</p><div><span>Read us daily</span></div>"
+            f"<div class='x'><a href='/{i}'>More {i}</a></div></article></body></html>"
+        )
+
+    def teaser(i):
+        return f"<html><body><article><p>Card {i}</p></article><div><p>The long story number {i} stands outside of it</p></div></body></html>"
+
+    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(30)] + [(100 + i, f"http://b.example/{i}", teaser(i)) for i in range(30)]
+    rows += [(200 + i, f"http://c.example/{i}", page(7)) for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in templates.extracted(df).collect()}
+    assert all(found[i] == f"Title {i}\n\nStory number {i} with words {i * i}" for i in range(30))
+    assert all(found[100 + i].endswith(f"The long story number {i} stands outside of it") for i in range(30))
+    assert "Story number 7" in found[205]
+
+
 # ======== 3 ========
 
 
