@@ -1,8 +1,8 @@
 """Secret scans: character Markov models of random strings and of ordinary words, compared by log-likelihood ratio.
 
-Three plain patterns find secrets that say what they are. For the rest, every long run of token characters is scored:
-the sum over its neighbouring characters of how much likelier the model of random strings makes the second after the
-first than the model of ordinary words does. Both models are trained from labelled samples. DataFrame functions only.
+Three plain patterns find secrets that say what they are. For the rest, every run of token characters is scored by its best
+stretch: the largest sum over neighbouring characters of how much likelier the model of random strings makes the second
+after the first than the model of ordinary words does. Both models are trained from labelled samples. DataFrame functions only.
 
 Spans: splitting a text at a pattern gives what lies between its matches, so the lengths of both, added up, are the
 matches' places in code points.
@@ -10,6 +10,8 @@ matches' places in code points.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,11 +27,8 @@ KINDS = ("assign", "access", "hex", "markov")
 LEAST_VALUE = 8
 
 TOKEN = "A-Za-z0-9+/_.=-"
-# Runs of token characters from this length on are scored.
-LEAST_RUN = 20
-# A run is a secret where the ratio exceeds this many nats, and so much for each character.
+# A stretch is a secret where the ratio reaches this many nats.
 LEAST_RATIO = 12.0
-LEAST_RATE = 0.4
 # Labelled samples: random strings for each alphabet, and documents whose words count as ordinary.
 RANDOM_STRINGS = 2000
 ORDINARY_DOCS = 2000
@@ -118,43 +117,97 @@ def ratio_table(model: DataFrame) -> Column:
     return F.split(F.lit(",".join(repr(rows.get(i, 0.0)) for i in range(SYMBOLS * SYMBOLS))), ",").cast(T.ArrayType(T.DoubleType()))
 
 
-def likelihood_ratio(run: Column, table: Column) -> Column:
-    """Log-likelihood ratio of random against ordinary for a run of token characters."""
-    slot = lambda i: F.ascii(F.substring(run, i, F.lit(1))) * SYMBOLS + F.ascii(F.substring(run, i + 1, F.lit(1))) + 1
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(run) - 1), F.lit(0.0), lambda total, i: total + F.element_at(table, slot(i).cast("int"))
+def least_run(model: DataFrame) -> int:
+    """How many characters a stretch has at least that reaches LEAST_RATIO: fewer cannot, whatever they are."""
+    most = model.agg(F.max("ratio")).first()[0] or 0.0
+    return math.ceil(LEAST_RATIO / most) + 1 if most > 0 else 2
+
+
+def _ratio(run: Column, i: Column, table: Column) -> Column:
+    slot = F.ascii(F.substring(run, i, F.lit(1))) * SYMBOLS + F.ascii(F.substring(run, i + 1, F.lit(1))) + 1
+    return F.element_at(table, slot.cast("int"))
+
+
+def best_ratio(run: Column, table: Column) -> Column:
+    """Log-likelihood ratio of random against ordinary for the best stretch of a run of token characters, 0 at least."""
+
+    def add(acc, i):
+        total = F.greatest(acc["total"], F.lit(0.0)) + _ratio(run, i, table)
+        return F.struct(total.alias("total"), F.greatest(acc["best"], acc["total"]).alias("best"))
+
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("best"))
+    steps = F.sequence(F.lit(1), F.length(run) - 1)
+    return F.aggregate(steps, start, add, lambda acc: F.greatest(acc["best"], acc["total"]))
+
+
+def stretches(run: Column, offset: Column, table: Column) -> Column:
+    """Spans of a run's stretches that reach LEAST_RATIO; a stretch lasts while its ratio stays above 0 and ends at its peak."""
+    none = F.array().cast(SPAN)
+
+    def told(acc):
+        span = F.struct((offset + acc["since"]).alias("start"), F.lit(3).alias("kind"), (offset + acc["end"]).alias("end"))
+        return F.when(acc["peak"] >= LEAST_RATIO, F.concat(acc["spans"], F.array(span).cast(SPAN))).otherwise(acc["spans"])
+
+    def add(acc, i):
+        total = acc["total"] + _ratio(run, i, table)
+        over = total <= 0
+        return F.struct(
+            F.when(over, 0.0).otherwise(total).alias("total"), F.when(over, i).otherwise(acc["since"]).alias("since"),
+            F.when(over, 0.0).otherwise(F.greatest(acc["peak"], total)).alias("peak"),
+            F.when(over | (total > acc["peak"]), i + 1).otherwise(acc["end"]).alias("end"),
+            F.when(over, told(acc)).otherwise(acc["spans"]).alias("spans"),
+        )
+
+    start = F.struct(
+        F.lit(0.0).alias("total"), F.lit(0).alias("since"), F.lit(0.0).alias("peak"), F.lit(0).alias("end"), none.alias("spans")
     )
+    return F.aggregate(F.sequence(F.lit(1), F.length(run) - 1), start, add, told)
+
+
+def without(text: Column, spans: Column) -> Column:
+    """The text with blanks in the place of its spans, which are in order."""
+
+    def add(acc, span):
+        start, end = F.greatest(acc["at"], span["start"]), F.greatest(acc["at"], span["end"])
+        kept = F.substring(text, acc["at"] + 1, start - acc["at"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], kept, F.repeat(F.lit(" "), end - start)).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    cut = F.aggregate(spans, start, add, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, cut).otherwise(text)
 
 
 def secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, base array of spans, spans array of spans) of every row; a span is (start, kind, end) in code points.
 
-    `base` has what the plain patterns find; `spans` has that and the long runs that the models take for random and
-    that no base span touches. Kinds are numbered as KINDS lists them. Null and empty texts have no spans, equal rows
+    `base` has what the plain patterns find; `spans` has that and the stretches, of what base spans leave of the text, that the
+    models take for random. Kinds are numbered as KINDS lists them. Null and empty texts have no spans, equal rows
     get equal results, other columns are not read. An empty table gives an empty result.
     """
     spark = configured(docs.sparkSession)
     model = saved(train(labelled_samples(spark, docs, id_column, text_column)), "markov")
     table = ratio_table(model)
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    long_run = f"(?<![{TOKEN}])[{TOKEN}]{{{LEAST_RUN},}}"
-    found = docs.select(
-        F.col(id_column).cast("long").alias("id"), text.alias("text"), base_spans(text).alias("base"),
-        spans_of(text, long_run, 3).alias("long"),
+    found = docs.select(F.col(id_column).cast("long").alias("id"), text.alias("text"), base_spans(text).alias("base"))
+    bare = found.select("id", "base", without(F.col("text"), F.col("base")).alias("bare"))
+    least = least_run(model)
+    runs = F.array_distinct(F.filter(F.split("bare", f"[^{TOKEN}]+", -1), lambda r: F.length(r) >= least))
+    scored = bare.withColumn("random", F.filter(runs, lambda r: best_ratio(r, table) >= LEAST_RATIO))
+
+    # Only texts with such a run are taken apart for its places.
+    parts = F.arrays_zip(
+        F.split("bare", f"[{TOKEN}]+", -1).alias("gap"), F.regexp_extract_all("bare", F.lit(f"([{TOKEN}]+)"), F.lit(1)).alias("run")
     )
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
 
-    def random(span):
-        run = F.substring(F.col("text"), span["start"] + 1, span["end"] - span["start"])
-        return likelihood_ratio(run, table) >= F.greatest(F.lit(LEAST_RATIO), F.lit(LEAST_RATE) * F.length(run))
-
-    def free(span):
-        touches = F.exists("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        return ~touches
+    def add(acc, part):
+        begin = acc["at"] + F.length(part["gap"])
+        end = begin + F.coalesce(F.length(part["run"]), F.lit(0))
+        hit = F.coalesce(F.array_contains("random", part["run"]), F.lit(False))
+        return F.struct(end.alias("at"), F.when(hit, F.concat(acc["spans"], stretches(part["run"], begin, table))).otherwise(acc["spans"]).alias("spans"))
 
-    added = F.filter(F.filter("long", free), random)
-    return found.select(
-        F.col("id").alias(id_column), "base", F.array_sort(F.concat("base", F.when(F.size("long") > 0, added).otherwise(F.array().cast(SPAN)))).alias("spans")
-    )
+    added = F.when(F.size("random") > 0, F.aggregate(parts, start, add, lambda acc: acc["spans"])).otherwise(F.array().cast(SPAN))
+    return scored.select(F.col("id").alias(id_column), "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
 def listed(spans: Column) -> Column:

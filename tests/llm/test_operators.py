@@ -397,6 +397,21 @@ def test_secret_spans_of_tricky_texts(spark, sf_small):
     assert kinds[10] == ["markov"] and kinds[11] == [] and kinds[12] == ["markov"]
 
 
+def test_short_secrets_and_secrets_within_longer_runs(spark, sf_check):
+    keys = ["mZx8Kq2vT9Lr", "Qx7Zk2Wv9Bt4Mj", "hJ4xR9wQz7Kp2Vn5Xs"]
+    path = "/the/other/water/and/then/there/are/these/others/in/another/order/and/the/rest/"
+    rows = [f"key {k} end" for k in keys] + [f"see {path}{keys[1]}"] + [f"sum {'ab12' * 8}/{keys[2]}", f"see {path}"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    words = spark.read.parquet(f"{sf_check}/documents.parquet").select((F.col("doc_id") + 1000).alias("doc_id"), "text")
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.secrets(docs.unionByName(words)).where("doc_id < 1000").collect()}
+    for i, key in enumerate([*keys, keys[1], keys[2]]):
+        (span,) = [s for s in found[i] if s["kind"] == 3] or [None]
+        assert span, rows[i]
+        told, at = rows[i][span["start"] : span["end"]], rows[i].index(key)
+        assert len(told) >= len(key) - 2 and span["start"] >= at - 4 and span["end"] <= at + len(key)
+    assert not found[5]
+
+
 # ======== 9 ========
 
 
