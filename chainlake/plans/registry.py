@@ -1035,6 +1035,19 @@ def stream_stuck(spark, sf_dir):
     return spark.read.parquet(target).select("name", time_text("start_date").alias("start_date"))
 
 
+@query(f"""
+SELECT name FROM (
+  SELECT name, min(CASE WHEN state = 'RUNNING' THEN event_time END) AS start_date,
+    max(CASE WHEN state <> 'RUNNING' THEN event_time END) AS end_date FROM ({s.JOB_EVENTS_SQL}) GROUP BY name)
+WHERE start_date IS NOT NULL AND (end_date IS NULL OR end_date < start_date)""")
+def stream_stuck_open(spark, sf_dir):
+    """Runs without an end, judged long after the last event: no watermark holds one back."""
+    kept = work_folder(spark, "runs")
+    events = sliced_stream(spark, s.job_events(spark, sf_dir), work_folder(spark, "slices"))
+    _finished(outcomes.run_stream(events, kept, work_folder(spark, "offsets")))
+    return checks.stuck_runs(outcomes.read_runs(spark, kept), "2100-01-01T00:00:00+00:00", SOURCE).select("name")
+
+
 @query("SELECT DISTINCT event_type || '-' || user_id || '-zip' AS chave FROM events")
 def stream_first_arrivals(spark, sf_dir):
     target = work_folder(spark, "alerts")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -66,3 +66,31 @@ def stuck_stream(events: DataFrame, contract: Contract, lateness: str = "10 minu
         ends.withWatermark("end_date", lateness), cancels, "leftOuter"
     )
     return waited.where(F.col("ended").isNull()).select("name", "start_date", alert_at.alias("alert_at"))
+
+
+def run_stream(events: DataFrame, runs_path: str, checkpoint: str) -> StreamingQuery:
+    """Keep every run's start and end below `runs_path`, each micro-batch as a part of its own that its replay rewrites."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        _ends(batch.select(
+            "name", F.when(F.col("state") == "RUNNING", F.col("event_time")).alias("start_date"),
+            F.when(is_terminal(F.col("state")), F.col("event_time")).alias("end_date"),
+        )).write.mode("overwrite").parquet(f"{runs_path}/slice={batch_id}")
+
+    return (
+        events.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
+    """(name, start_date, status) of every started run so far, for `stuck_runs` at any time: no later event is needed."""
+    folded = _ends(spark.read.parquet(runs_path)).where("start_date IS NOT NULL")
+    ended = F.coalesce(F.col("end_date") >= F.col("start_date"), F.lit(False))
+    return folded.select("name", "start_date", F.when(ended, "ENDED").otherwise("RUNNING").alias("status"))
+
+
+def _ends(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("name").agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))

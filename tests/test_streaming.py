@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainlake.contract import JOB_RUNS
-from chainlake.operators import silver
+from chainlake.operators import checks, silver
 from chainlake.plans import standins as s
 from chainlake.sources import bronze, control, csv_events
 from chainlake.streaming import ingest, outcomes, state
@@ -157,6 +157,18 @@ def test_stuck_runs_by_watermark(spark, tmp_path):
     assert sorted(r["name"] for r in alerts.collect()) == ["late", "stuck"]
 
 
+def test_a_stuck_run_needs_no_later_event(spark, tmp_path):
+    at = lambda h: datetime(2026, 10, 5, h, tzinfo=timezone.utc)
+    events = events_stream(
+        spark, tmp_path, "name string, event_time timestamp, state string",
+        [("fine", at(1), "RUNNING"), ("dead", at(1), "RUNNING")], [("fine", at(2), "SUCCEEDED"), ("last", at(3), "RUNNING")],
+    )
+    kept = fresh(tmp_path, "runs")
+    run(outcomes.run_stream(events, kept, fresh(tmp_path, "offsets")))
+    stuck = lambda as_of: sorted(r["name"] for r in checks.stuck_runs(outcomes.read_runs(spark, kept), as_of, SOURCE).collect())
+    assert stuck("2026-10-05T04:00:00+00:00") == ["dead"] and stuck("2026-10-05T06:00:00+00:00") == ["dead", "last"]
+
+
 def test_redeliveries_are_dropped(spark, tmp_path):
     at = lambda m: datetime(2026, 10, 5, 1, m, tzinfo=timezone.utc)
     arrivals = events_stream(
