@@ -19,14 +19,15 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("node"), F.col("lo").alias("other")).unionByName(
         edges.select(F.col("lo").alias("node"), F.col("hi").alias("other"))
     )
-    least = both.groupBy("node").agg(F.min("other").alias("least"))
+    # Written, so that both sides of the join are plain scans: a node of very many edges is split by AQE.
+    least = saved(both.groupBy("node").agg(F.min("other").alias("least")), "least")
     moved = both.join(least, "node").where("other > node")
     return moved.select(F.col("other").alias("hi"), F.least("node", "least").alias("lo")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours move to the smallest of these."""
-    least = edges.groupBy("hi").agg(F.min("lo").alias("least"))
+    least = saved(edges.groupBy("hi").agg(F.min("lo").alias("least")), "least")
     moved = edges.join(least, "hi").where("lo <> least").select(F.col("lo").alias("hi"), F.col("least").alias("lo"))
     return moved.unionByName(least.select("hi", F.col("least").alias("lo"))).distinct()
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainlake.llm import (
-    language, mixing, mixing_sql, perplexity, secret_scan, simhash, sketches, templates, token_files, warc, winnowing,
+    contract_sql, language, merkle, mixing, mixing_sql, perplexity, prefix_trie, secret_scan, simhash, sketches, templates, token_files,
+    url_rules, warc, winnowing,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +112,37 @@ def op9_language(spark, sf_dir):
 def op10_token_files(spark, sf_dir):
     shards = token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
     return token_files.read_tokens(shards, with_tokens=False)
+
+
+# The rules that the URL query judges by.
+URL_RULES = [
+    url_rules.Rule("allow", "org", "/"), url_rules.Rule("block", "example.org", "/es/"), url_rules.Rule("block", "example.org", "/en/1"),
+    url_rules.Rule("allow", "com", "/fr/"), url_rules.Rule("block", "com", "/de/"),
+]
+
+
+@query
+def op11_url_verdicts(spark, sf_dir):
+    return url_rules.judged(table(spark, sf_dir, "pages"), url_rules.rule_table(spark, URL_RULES))
+
+
+ORACLES["op11_url_verdicts"] = contract_sql.judged_sql("pages", [(r.verdict, r.host, r.path) for r in URL_RULES])
+
+
+@query
+def op12_manifest(spark, sf_dir):
+    """Every document's proof against the manifest; a third of the documents are tampered with after it is made."""
+    changed, lowered = merkle.tampered("doc_id", "text")
+    now = merkle.digest_of([*map(F.col, ("doc_id", "source", "lang", "n_chars")), lowered])
+    return merkle.verified(table(spark, sf_dir, "documents"), shown=F.when(changed, now))
+
+
+ORACLES["op12_manifest"] = contract_sql.manifest_sql("documents")
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("enter", "leave")
+
+
+ORACLES["op13_prefix_trie"] = contract_sql.trie_sql("conversations")
