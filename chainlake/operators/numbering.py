@@ -1,0 +1,38 @@
+"""Numbering rows in an order that no single task sees whole."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from chainlake.functions.text import named
+from chainlake.session import work_folder
+
+# monotonically_increasing_id: the partition above this many bits, the row within it below.
+ROW_BITS = 33
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written once to the shared folder and read from there: its lineage ends, and reading it again gives the same rows."""
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, order: list[Column | str], name: str, purpose: str = "numbered") -> DataFrame:
+    """`df` with column `name`: each row's place in `order`, from 0 and without gaps.
+
+    Rows are dealt out by ranges of the order, whose bounds Spark takes from a sample of each partition, sorted and written; a row's place is
+    its place in its range and the rows of the ranges before. Rows that the order does not tell apart follow each other in the order
+    they are read in, which also parts them between ranges, however many there are. What is added up in one task has a row for each range.
+    """
+    read = df.withColumn("_read", F.monotonically_increasing_id())
+    spread = read.repartitionByRange(*order, "_read").sortWithinPartitions(*order, "_read").drop("_read")
+    placed = written(spread.withColumn("_slot", F.monotonically_increasing_id()), purpose)
+    part = F.shiftright("_slot", ROW_BITS)
+    before = F.coalesce(F.sum("_rows").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows")).select("_part", before.cast("long").alias("_start"))
+    place = F.col("_slot").bitwiseAND((1 << ROW_BITS) - 1) + F.col("_start")
+    # A row for each partition of the sort: its number is a setting, not the table's size.
+    return placed.join(F.broadcast(starts), part == F.col("_part")).select(*map(named, df.columns), place.alias(name))

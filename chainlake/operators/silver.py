@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,6 +10,7 @@ from chainlake.contract import Contract
 from chainlake.functions.chain import chain_key, event_order, event_time
 from chainlake.functions.text import blank, blank_filled, named
 from chainlake.operators.keyed import HOT_ROWS
+from chainlake.operators.numbering import numbered
 from chainlake.sources.bronze import project
 
 PLACE = ("event_ts", "arquivo_origem", "line_number")
@@ -92,48 +93,70 @@ def current_state(
 
 
 def _folded(events: DataFrame, blank_values: str, reopen_on: tuple[str, ...]) -> DataFrame:
+    return finished_states(partial_states(events, blank_values, reopen_on), events.columns)
+
+
+def partial_states(events: DataFrame, blank_values: str = "row", reopen_on: tuple[str, ...] = ()) -> DataFrame:
+    """What of each chain's events the options of `current_state` need, in a form that folds like `fold_states`: (chain, latest, last_<column> of
+    columns that keep their last non-blank value, closed, opened, tem_origem), each with the place it was found at."""
     order = event_order()
     strings = {f.name for f in events.schema.fields if f.dataType.simpleString() == "string"}
     fixed = {"chain", "diss_id", "orig_id", "action", "arquivo_origem"}
     sticky = [c for c in events.columns if c in strings - fixed] if blank_values == "keep" else []
     whole = [c for c in events.columns if c != "chain" and c not in sticky]
 
-    kept = [F.max_by(named(c), F.when(~blank(named(c)), order)).alias(c) for c in sticky]
-    closed = F.max(F.when(F.col("action") == "TERM", order)).alias("closed")
-    opened = F.max(F.when(F.col("action").isin(*reopen_on), order)).alias("opened")
-    folded = events.groupBy("chain").agg(
-        F.max_by(F.struct(*map(named, whole)), order).alias("latest"), *kept, closed, opened,
+    kept = [F.max(F.when(~blank(named(c)), F.struct(order.alias("at"), named(c).alias("value")))).alias(f"last_{c}") for c in sticky]
+    return events.groupBy("chain").agg(
+        F.max(F.struct(order.alias("at"), F.struct(*map(named, whole)).alias("row"))).alias("latest"), *kept,
+        F.max(F.when(F.col("action") == "TERM", order)).alias("closed"),
+        F.max(F.when(F.col("action").isin(*reopen_on), order)).alias("opened"),
         F.bool_or(F.col("action") == "NEWT").alias("tem_origem"),
     )
+
+
+def fold_partials(partials: DataFrame) -> DataFrame:
+    """One partial state per chain. Takes parts in any order and grouping, repeated ones included."""
+    latest = [F.max(named(c)).alias(c) for c in partials.columns if c not in ("chain", "tem_origem")]
+    return partials.groupBy("chain").agg(*latest, F.bool_or("tem_origem").alias("tem_origem"))
+
+
+def finished_states(partials: DataFrame, columns: list[str]) -> DataFrame:
+    """The current state, with `columns` of the events, of folded partial states."""
     ended = F.col("closed").isNotNull() & F.coalesce(F.col("opened") < F.col("closed"), F.lit(True))
-    flat = folded.select("*", "latest.*")
-    columns = [blank_filled(named(c)).alias(c) if c in sticky else named(c) for c in events.columns]
-    return flat.select(*columns, ended.alias("encerrada"), "tem_origem")
+
+    def column(c: str) -> Column:
+        if f"last_{c}" in partials.columns:
+            return blank_filled(named(f"last_{c}")["value"])
+        return F.col("chain") if c == "chain" else F.col("latest")["row"][c]
+
+    return partials.select(*(column(c).alias(c) for c in columns), ended.alias("encerrada"), "tem_origem")
 
 
 def history(log: DataFrame, hot_rows: int = HOT_ROWS, slice_rows: int = HOT_ROWS // 2) -> DataFrame:
     """Every event with `event_seq`, `valid_from`, `valid_to` and `is_current` within its chain.
 
-    A chain is one window partition, unless it is hot: a chain with more than `hot_rows` events is cut
-    along event time into slices of about `slice_rows`, each its own window partition, and a slice's numbers
-    are shifted by the events of the slices before it. Hot chains and their slices are few (rows divided by
-    hot_rows and by slice_rows), so both are broadcast.
+    A chain is one window partition, unless it is hot: a chain with more than `hot_rows` events is put in order by
+    a distributed sort and cut into slices of `slice_rows` events, the last one less, each its own window partition, and a
+    slice's numbers are shifted by the events of the slices before it. So neither a burst in one instant nor events
+    without a readable time make a slice larger. Hot chains and their slices are few (rows divided by hot_rows and by
+    slice_rows), so both are broadcast.
     """
-    at = F.unix_micros("event_ts")
-    chains = log.groupBy("chain").agg(
-        F.count("*").alias("events"), F.min(at).alias("first"), F.max(at).alias("last")
-    )
-    span = F.coalesce((F.col("last") - F.col("first") + 1) / F.ceil(F.col("events") / slice_rows), F.lit(1.0))
-    hot = chains.where(F.col("events") > hot_rows).select(
-        "chain", "first", F.greatest(F.lit(1.0), span).alias("width")
-    )
-    # Events without a readable time come first in their chain: slice -1.
-    part = F.when(F.col("width").isNull(), 0).otherwise(
-        F.coalesce(F.floor((at - F.col("first")) / F.col("width")), F.lit(-1))
-    )
-    sliced = log.join(F.broadcast(hot), "chain", "left").select(
-        *map(named, log.columns), part.alias("part"), F.col("width").isNotNull().alias("hot")
-    )
+    chains = log.groupBy("chain").agg(F.count("*").alias("events"))
+    busy = chains.where(F.col("events") > hot_rows)
+    following = F.lead(F.struct(F.lit(1).alias("some"), F.col("event_ts")))
+    if busy.isEmpty():
+        whole = W.partitionBy("chain").orderBy(*PLACE)
+        counted = log.withColumns({"seq": F.row_number().over(whole), "next": following.over(whole)})
+        return _dated(counted, log.columns, F.col("seq"), F.col("next"))
+    hot = F.broadcast(busy.select(F.col("chain").alias("hot_chain")))
+    # The key of events without an id is null: they are one chain, as in the windows.
+    same = F.col("chain").eqNullSafe(F.col("hot_chain"))
+    calm = log.join(hot, same, "left_anti").withColumns({"part": F.lit(0).cast("long"), "hot": F.lit(False)})
+    placed = numbered(log.join(hot, same, "left_semi"), ["chain", *PLACE], "place", "history")
+    starts = F.broadcast(placed.groupBy(F.col("chain").alias("hot_chain")).agg(F.min("place").alias("start")))
+    part = F.expr(f"(place - start) div {slice_rows}")
+    cut = placed.join(starts, same).select(*map(named, log.columns), part.alias("part"), F.lit(True).alias("hot"))
+    sliced = calm.unionByName(cut)
 
     heads = (
         sliced.where("hot")
@@ -142,19 +165,22 @@ def history(log: DataFrame, hot_rows: int = HOT_ROWS, slice_rows: int = HOT_ROWS
     )
     along = W.partitionBy("chain").orderBy("part")
     shifts = heads.select(
-        "chain", "part",
+        F.col("chain").alias("cut_chain"), F.col("part").alias("cut_part"),
         F.coalesce(F.sum("events").over(along.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"),
         F.lead("head").over(along).alias("next_head"),
     )
 
-    inside = W.partitionBy("chain", "part").orderBy(*PLACE)
-    following = F.lead(F.struct(F.lit(1).alias("some"), F.col("event_ts"))).over(inside)
-    numbered = sliced.withColumns({"seq": F.row_number().over(inside), "next": following})
-    joined = numbered.join(F.broadcast(shifts), ["chain", "part"], "left")
-    successor = F.coalesce("next", "next_head")
-    return joined.select(
-        *map(named, log.columns),
-        (F.col("seq") + F.coalesce("before", F.lit(0))).cast("int").alias("event_seq"),
+    inside = W.partitionBy("chain", "hot", "part").orderBy(*PLACE)
+    counted = sliced.withColumns({"seq": F.row_number().over(inside), "next": following.over(inside)})
+    at_part = F.col("hot") & F.col("chain").eqNullSafe(F.col("cut_chain")) & (F.col("part") == F.col("cut_part"))
+    joined = counted.join(F.broadcast(shifts), at_part, "left")
+    return _dated(joined, log.columns, F.col("seq") + F.coalesce("before", F.lit(0)), F.coalesce("next", "next_head"))
+
+
+def _dated(rows: DataFrame, columns: list[str], seq: Column, successor: Column) -> DataFrame:
+    return rows.select(
+        *map(named, columns),
+        seq.cast("int").alias("event_seq"),
         F.col("event_ts").alias("valid_from"),
         successor["event_ts"].alias("valid_to"),
         successor.isNull().alias("is_current"),

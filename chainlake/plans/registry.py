@@ -24,13 +24,14 @@ from chainlake.sources.control import (
     append_control,
     copy_records,
     outcome_records,
+    read_alerts,
     read_control,
     rule_records,
     unpack_records,
     volume_records,
 )
 from chainlake.sources.tables import register_tables
-from chainlake.streaming import ingest, outcomes, state
+from chainlake.streaming import ingest, outcomes, state, timers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -851,6 +852,18 @@ def history_sliced(spark, sf_dir):
     return shown_history(silver.history(typed(spark, sf_dir), hot_rows=5, slice_rows=3))
 
 
+@query(f"""
+SELECT chain, diss_id, action, row_number() OVER w AS event_seq, {sql_time('event_ts')} AS valid_from,
+  {sql_time('lead(event_ts) OVER w')} AS valid_to, lead(line_number) OVER w IS NULL AS is_current
+FROM (SELECT product AS chain, diss_id, action, CASE WHEN action <> 'NEWT' THEN TIMESTAMP '2024-01-15 12:00:00' END AS event_ts, arquivo_origem, line_number
+  FROM ({s.EVENT_LOG_SQL})) WINDOW w AS (PARTITION BY chain ORDER BY event_ts NULLS FIRST, arquivo_origem, line_number)""")
+def history_burst(spark, sf_dir):
+    """A chain for each product, its new trades without a readable time and all else in one instant: hot chains that time does not cut."""
+    burst = F.when(F.col("action") != "NEWT", F.to_timestamp(F.lit("2024-01-15 12:00:00")))
+    log = typed(spark, sf_dir).withColumns({"chain": F.col("product"), "event_ts": burst})
+    return shown_history(silver.history(log, hot_rows=60, slice_rows=25))
+
+
 ROOTS_SQL = f"SELECT diss_id FROM ({s.EVENT_LOG_SQL}) WHERE action = 'NEWT'"
 
 
@@ -1008,6 +1021,33 @@ def stream_state_equals_batch(spark, sf_dir):
     return shown_state(state.read_state(spark, path))
 
 
+@query(state_sql(s.EVENT_LOG_SQL))
+def stream_state_compacted(spark, sf_dir):
+    """The same through buckets of chains: six slices, and every bucket of two parts is folded with the next."""
+    path = work_folder(spark, "state")
+    log = typed(spark, sf_dir)
+    events = sliced_stream(spark, log.repartition(6, "product", "action"), work_folder(spark, "slices"), 1)
+    _finished(state.merged_stream(events, path, work_folder(spark, "offsets"), buckets=8, most=2))
+    return shown_state(state.merged_state(spark, path, log.columns))
+
+
+@query(f"""
+SELECT * FROM (
+  SELECT chain, arg_max(action, o) AS action, arg_max(diss_id, o) AS diss_id,
+    coalesce(arg_max(notional, o) FILTER (WHERE notional <> ''), '') AS notional, arg_max(product, o) AS product,
+    coalesce(max(o) FILTER (WHERE action = 'TERM') > coalesce(max(o) FILTER (WHERE action = 'MODI'), 0), false) AS encerrada
+  FROM (SELECT *, epoch_us(event_ts) * 10 AS o FROM ({s.DISTINCT_LOG_SQL})) GROUP BY chain)
+WHERE action <> 'EROR'""")
+def stream_state_options(spark, sf_dir):
+    """Blanks never overwrite, a modification reopens, annulled chains are left out: as a stream of the first copies."""
+    path = work_folder(spark, "state")
+    log = silver.distinct_events(typed(spark, sf_dir))
+    events = sliced_stream(spark, log.repartition(5, "diss_id"), work_folder(spark, "slices"), 1)
+    _finished(state.merged_stream(events, path, work_folder(spark, "offsets"), "keep", ("MODI",), buckets=8, most=2))
+    found = state.merged_state(spark, path, log.columns, drop_annulled=True)
+    return found.select("chain", "action", "diss_id", "notional", "product", "encerrada")
+
+
 @query(f"""
 SELECT job_run_id, execution_id, lower(state) AS status, duracao_segundos FROM ({OUTCOMES_SQL})""")
 def stream_outcomes(spark, sf_dir):
@@ -1017,6 +1057,37 @@ def stream_outcomes(spark, sf_dir):
     return read_control(spark, log).select("job_run_id", "execution_id", "status", "duracao_segundos")
 
 
+@query(f"""
+SELECT '[swaps-pipeline] job falhou' AS subject, 'Job bronze run ' || job_run_id || ' terminou em ' || state AS message
+FROM ({s.JOB_EVENTS_SQL}) WHERE state = 'FAILED'""")
+def stream_alerts(spark, sf_dir):
+    """Alerts that the outcome stream leaves beside its records."""
+    log, alerts = work_folder(spark, "control"), work_folder(spark, "alerts")
+    events = sliced_stream(spark, s.job_events(spark, sf_dir), work_folder(spark, "slices"), 1)
+    runs = s.job_runs(spark, sf_dir)
+    _finished(outcomes.record_outcomes(events, runs, log, work_folder(spark, "offsets"), alerts, SOURCE))
+    return read_alerts(spark, alerts)
+
+
+@query(f"""
+SELECT name, {sql_time('start_date')} AS start_date, {sql_time('start_date + INTERVAL 2 HOUR')} AS alert_at FROM (
+  SELECT name, event_time AS start_date, state,
+    lead(event_time) OVER (PARTITION BY name ORDER BY event_time, state <> 'RUNNING') AS next_event
+  FROM ({s.JOB_EVENTS_SQL.replace("'run-' || event_id", "'run-' || user_id")}))
+WHERE state = 'RUNNING' AND (next_event IS NULL OR next_event >= start_date + INTERVAL 2 HOUR)""")
+def stream_stuck_timer(spark, sf_dir):
+    """Runs of names that start again and again, told by timers: also those after which nothing comes."""
+    target = work_folder(spark, "alerts")
+    events = sliced_stream(spark, s.job_events(spark, sf_dir, run="user_id"), work_folder(spark, "slices"))
+    alerts = timers.stuck_alert_stream(events, SOURCE)
+    # One micro-batch: with the clock as its time, a query whose timers are never done would wait for more.
+    _finished(
+        alerts.writeStream.option("path", target).option("checkpointLocation", work_folder(spark, "offsets"))
+        .trigger(once=True).start()
+    )
+    return spark.read.parquet(target).select("name", time_text("start_date").alias("start_date"), time_text("alert_at").alias("alert_at"))
+
+
 @query(f"""
 SELECT name, {sql_time('start_date')} AS start_date FROM (
   SELECT name, min(event_time) AS start_date, min(CASE WHEN state <> 'RUNNING' THEN event_time END) AS end_date
@@ -1037,7 +1108,7 @@ def stream_stuck(spark, sf_dir):
 
 @query(f"""
 SELECT name FROM (
-  SELECT name, min(CASE WHEN state = 'RUNNING' THEN event_time END) AS start_date,
+  SELECT name, max(CASE WHEN state = 'RUNNING' THEN event_time END) AS start_date,
     max(CASE WHEN state <> 'RUNNING' THEN event_time END) AS end_date FROM ({s.JOB_EVENTS_SQL}) GROUP BY name)
 WHERE start_date IS NOT NULL AND (end_date IS NULL OR end_date < start_date)""")
 def stream_stuck_open(spark, sf_dir):

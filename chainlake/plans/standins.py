@@ -171,8 +171,8 @@ FROM orders
 # ---- job events and runs: each event is a run ----
 
 
-def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A RUNNING event per run when it starts and, but for clicks, a terminal one `value` minutes later."""
+def job_events(spark: SparkSession, sf_dir: str, run: str = "event_id") -> DataFrame:
+    """A RUNNING event per run when it starts and, but for clicks, a terminal one `value` minutes later. By user, runs start again and again."""
     e = _events(spark, sf_dir)
     kind = F.col("event_type")
     ended = (
@@ -187,7 +187,7 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.lit("bronze").alias("job_name"),
         F.concat(F.lit("jr_"), "event_id").alias("job_run_id"),
-        F.concat(F.lit("run-"), "event_id").alias("name"),
+        F.concat(F.lit("run-"), run).alias("name"),
         F.inline(both),
     ).where("state is not null")
 

@@ -27,6 +27,11 @@ def read_control(
     return log if days is None else recent(log, as_of, days)
 
 
+def read_batch(spark: SparkSession, path: str, leaf: str) -> DataFrame:
+    """What one batch left in the log, no more of it listed than the days."""
+    return spark.read.schema(CONTROL).json(f"{path}/*/{LEAF}={leaf}").select(*CONTROL.names)
+
+
 def batch_time(batch: DataFrame, column: str) -> datetime | None:
     """The instant of a micro-batch, which its replay has too: any row's `column`, filled by `current_timestamp`."""
     moment = batch.agg(F.unix_micros(F.min(column)).alias("at")).first()["at"]
@@ -62,6 +67,15 @@ def append_control(
     writer.partitionBy("dt", LEAF).json(path)
 
 
+def append_alerts(alerts: DataFrame, path: str, leaf: str) -> None:
+    """Append a batch's alerts (subject, message); the batch replayed under its `leaf` replaces its own."""
+    alerts.select("subject", "message").write.mode("overwrite").json(f"{path}/{LEAF}={leaf}")
+
+
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("subject string, message string").json(path).select("subject", "message")
+
+
 def of_origin(control: DataFrame, *origins: str) -> DataFrame:
     return control.where(F.col("origem").isin(*origins))
 

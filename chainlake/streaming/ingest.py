@@ -18,13 +18,16 @@ from chainlake.functions.status import PROBLEM
 from chainlake.functions.text import named
 from chainlake.operators.correlate import correlate
 from chainlake.operators.quality import evaluate, ruleset
-from chainlake.operators.volume import volume_verdict
+from chainlake.operators.volume import volume_alerts, volume_verdict
 from chainlake.sources.archives import archive_files, unpack
 from chainlake.sources.bronze import write_bronze
 from chainlake.sources.control import (
+    append_alerts,
     append_control,
     batch_leaf,
     batch_time,
+    of_origin,
+    read_batch,
     read_control,
     rule_records,
     unpack_records,
@@ -53,12 +56,13 @@ def process_batch(
     bronze_path: str,
     control_path: str | None = None,
     clock: Callable[[], datetime] | None = None,
+    alerts_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The `foreachBatch` step: write Bronze, then record rule outcomes and the volume verdict.
 
     The batch is kept for the checks so that the CSV is parsed once; the trigger's limit bounds its size. Records
     bear the micro-batch's own instant, or the `clock`'s, and a replay replaces them. Checks that fail leave a
-    record of that, and the load stands.
+    record of that, and the load stands. With `alerts_path`, files with a volume problem leave an alert there.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -72,6 +76,10 @@ def process_batch(
                     return
                 try:
                     append_control(check_records(batch, batch_id, contract, control_path, at), control_path, at, leaf)
+                    if alerts_path is not None:
+                        # From the records as they were written: judged once, worded alike.
+                        volumes = of_origin(read_batch(batch.sparkSession, control_path, leaf), VOLUME_STAGE)
+                        append_alerts(volume_alerts(volumes, contract), alerts_path, leaf)
                 except Exception as error:  # a check that breaks must not undo or block the load
                     log.exception("checks of batch %s failed; its rows are in Bronze", batch_id)
                     append_control(broken_records(batch, batch_id, error), control_path, at, leaf)
@@ -134,6 +142,7 @@ def ingest_stream(
     control_path: str | None = None,
     files_per_trigger: int | None = 1000,
     clock: Callable[[], datetime] | None = None,
+    alerts_path: str | None = None,
 ) -> StreamingQuery:
     """Process all files not yet processed under this checkpoint, then stop. A new checkpoint starts over.
 
@@ -141,7 +150,7 @@ def ingest_stream(
     """
     rows = stream_events(spark, path, layout, files_per_trigger)
     return (
-        rows.writeStream.foreachBatch(process_batch(contract, bronze_path, control_path, clock))
+        rows.writeStream.foreachBatch(process_batch(contract, bronze_path, control_path, clock, alerts_path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

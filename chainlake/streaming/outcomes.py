@@ -8,8 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chainlake.contract import JOB_STAGE, Contract
 from chainlake.functions.status import is_terminal
+from chainlake.operators.checks import failure_alerts
 from chainlake.operators.correlate import enrich_outcome, keyed_arrivals
-from chainlake.sources.control import append_control, batch_leaf, batch_time, outcome_records
+from chainlake.sources.control import append_alerts, append_control, batch_leaf, batch_time, outcome_records
 
 
 def first_arrivals(arrivals: DataFrame, horizon: str = "7 days", by_content: bool = False) -> DataFrame:
@@ -23,15 +24,24 @@ def outcome_stream(events: DataFrame, runs: DataFrame) -> DataFrame:
     return enrich_outcome(events.where(is_terminal(F.col("state"))), runs)
 
 
-def record_outcomes(events: DataFrame, runs: DataFrame, control_path: str, checkpoint: str) -> StreamingQuery:
-    """Append every terminal outcome to the control log; `runs` is read anew for each batch.
+def record_outcomes(
+    events: DataFrame, runs: DataFrame, control_path: str, checkpoint: str, alerts_path: str | None = None,
+    contract: Contract | None = None,
+) -> StreamingQuery:
+    """Append every terminal outcome to the control log; `runs` is read anew for each batch. With `alerts_path`, every failure leaves an alert
+    of the `contract` there as well, once however often its batch is replayed.
 
     Not the streaming file sink: its own list of files would hide what batches append to the same log.
     """
+    if alerts_path is not None and contract is None:
+        raise ValueError("alerts need the contract that words them")
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        leaf = batch_leaf(batch, batch_id, JOB_STAGE)
         records = outcome_records(batch.drop("gravado_em"))
-        append_control(records, control_path, batch_time(batch, "gravado_em"), batch_leaf(batch, batch_id, JOB_STAGE))
+        append_control(records, control_path, batch_time(batch, "gravado_em"), leaf)
+        if alerts_path is not None:
+            append_alerts(failure_alerts(batch, contract), alerts_path, leaf)
 
     return (
         outcome_stream(events, runs).withColumn("gravado_em", F.current_timestamp())
@@ -93,4 +103,5 @@ def read_runs(spark: SparkSession, runs_path: str) -> DataFrame:
 
 
 def _ends(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("name").agg(F.min("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
+    # A run that was started again runs since then.
+    return rows.groupBy("name").agg(F.max("start_date").alias("start_date"), F.max("end_date").alias("end_date"))
