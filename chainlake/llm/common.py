@@ -34,7 +34,17 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written once to the shared folder and read from there: its lineage ends, and its size is known."""
     path = work_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.saved_at = path
+    return found
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of `saved` that nothing still to be computed reads."""
+    for table in tables:
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(table.saved_at)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def arrow_step(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:

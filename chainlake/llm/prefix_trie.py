@@ -18,7 +18,7 @@ from chainlake.llm.common import arrow_step, saved, tuned, values
 from chainlake.llm.list_rank import BLOCK, prefix_sums
 from chainlake.llm.order import numbered
 
-# Rows of one conversation, or of one node's last members, that are put together at once.
+# So many turns of a conversation, numbers of a node's children or ids of its last members are put together at once.
 CHUNK = 4096
 GROUP = 100
 MOST = 6
@@ -49,8 +49,9 @@ def ordered_turns(
 
 
 def rebuilt(ordered: DataFrame, group: int = GROUP, most: int = MOST) -> tuple[DataFrame, DataFrame]:
-    """((conv, size), (conv, j, digest, chars)): every conversation, and its turns when rebuilt: the first h turns of the first conversation of
-    its `group` (as many as it has), then its own after its first h, h being the CRC-32 of its decimal id modulo `most`."""
+    """((conv, size), (conv, j, chars, hi, lo)): every conversation, and its turns when rebuilt: the first h turns of the first conversation of
+    its `group` (as many as it has), then its own after its first h, h being the CRC-32 of its decimal id modulo `most`. hi and lo are the halves
+    of a digest of a turn and its place."""
     base = F.col("conv") - F.col("conv") % group
     borrowed = (F.crc32(F.col("conv").cast("string").cast("binary")) % most).cast("int")
     sizes = ordered.groupBy("conv").agg(F.count("*").alias("own")).select("conv", "own", borrowed.alias("h"), base.alias("base"))
@@ -66,7 +67,11 @@ def rebuilt(ordered: DataFrame, group: int = GROUP, most: int = MOST) -> tuple[D
     own = ordered.join(convs.select("conv", "h", "k"), "conv").where("i >= h")
     turns = theirs.unionByName(own.select("conv", (F.col("i") - F.col("h") + F.col("k")).alias("j"), "digest", "chars"))
     size = (F.col("k") + F.greatest(F.col("own") - F.col("h"), F.lit(0))).cast("long")
-    return convs.select("conv", size.alias("size")), saved(turns, "rebuilt")
+    mixed = F.md5(F.concat(F.col("j").cast("string"), F.lit(":"), F.col("digest")).cast("binary"))
+    halves = turns.select("conv", "j", "chars", mixed.alias("m")).select(
+        "conv", "j", "chars", _long(F.substring("m", 1, 16)).alias("hi"), _long(F.substring("m", 17, 16)).alias("lo")
+    )
+    return convs.select("conv", size.alias("size")), saved(halves, "rebuilt")
 
 
 # ======== nodes ========
@@ -96,9 +101,7 @@ def running_xor(rows: DataFrame, key: str, index: str, names: list[str], chunk:
 
 def visits(turns: DataFrame) -> DataFrame:
     """(conv, depth, hi, lo, up_hi, up_lo, chars): the node of each prefix of a rebuilt conversation and the node above it."""
-    mixed = F.md5(F.concat(F.col("j").cast("string"), F.lit(":"), F.col("digest")).cast("binary"))
-    rows = saved(turns.select("conv", "j", "chars", mixed.alias("m")).select("conv", "j", "chars", _long(F.substring("m", 1, 16)).alias("hi"), _long(F.substring("m", 17, 16)).alias("lo")), "mixed")
-    found = running_xor(rows, "conv", "j", ["hi", "lo"])
+    found = running_xor(turns, "conv", "j", ["hi", "lo"])
     return saved(
         found.select(
             "conv", (F.col("j") + 1).alias("depth"), F.col("r_hi").alias("hi"), F.col("r_lo").alias("lo"),
@@ -123,10 +126,13 @@ def trie_nodes(convs: DataFrame, visited: DataFrame) -> DataFrame:
     parents = nodes.select(F.col("hi").alias("up_hi"), F.col("lo").alias("up_lo"), F.col("r").alias("up_r"), F.col("conv").alias("up_conv"))
     # Both sides are plain scans: a node of very many children is split by AQE.
     linked = saved(nodes.join(parents, ["up_hi", "up_lo"], "left"), "linked")
-    children = linked.where("up_r IS NOT NULL").select("up_r", "r")
-    in_order = saved(numbered(children, ["up_r", "r"], "place"), "children")
-    later = in_order.select("up_r", (F.col("place") - 1).alias("place"), F.col("r").alias("sibling"))
-    siblings = in_order.join(later, ["up_r", "place"]).select("r", "sibling")
+    children = linked.where("up_r IS NOT NULL").select("up_r", "r", F.expr(f"r div {CHUNK}").alias("part"))
+    # A node's children go into windows by ranges of their numbers; a range's last child is followed by the first of the node's next range.
+    inside = W.partitionBy("up_r", "part").orderBy("r")
+    parts = children.groupBy("up_r", "part").agg(F.min("r").alias("least"))
+    after = parts.select("up_r", "part", F.lead("least").over(W.partitionBy("up_r").orderBy("part")).alias("after"))
+    near = children.select("up_r", "part", "r", F.lead("r").over(inside).alias("near"))
+    siblings = near.join(after, ["up_r", "part"]).select("r", F.coalesce("near", "after").alias("sibling"))
     firsts = children.groupBy(F.col("up_r").alias("r")).agg(F.min("r").alias("child"), F.count("*").alias("n_children"))
     joined = linked.join(firsts, "r", "left").join(siblings, "r", "left")
     return saved(joined.select(
@@ -164,10 +170,10 @@ def subtree_sums(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
 def end_digests(ends: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(hi, lo, ends_sha256): the SHA-256 of the conversations (conv, hi, lo) that end at each node, ascending and comma-joined.
 
-    Ids are put in order and joined chunk by chunk in parallel. A digest is a sequence by nature: its chunks pass one after the other
+    Ids are sorted and joined in parallel, by ranges of `chunk` ids. A digest is a sequence by nature: its chunks pass one after the other
     through the hash, held one batch at a time."""
-    placed = numbered(saved(ends, "ends"), ["hi", "lo", "conv"], "place").withColumn("chunk", F.expr(f"place div {chunk}"))
-    parts = placed.groupBy("hi", "lo", "chunk").agg(F.array_join(F.array_sort(F.collect_list("conv")).cast("array<string>"), ",").alias("ids"))
+    ranges = F.expr(f"conv div {chunk}")
+    parts = ends.groupBy("hi", "lo", ranges.alias("chunk")).agg(F.array_join(F.array_sort(F.collect_list("conv")).cast("array<string>"), ",").alias("ids"))
 
     def step(batches):
         now, digest = None, None
@@ -185,7 +191,7 @@ def end_digests(ends: DataFrame, chunk: int = CHUNK) -> DataFrame:
         if now:
             yield {"hi": [now[0]], "lo": [now[1]], "ends_sha256": [digest.hexdigest()]}
 
-    sorted_parts = saved(parts, "end-chunks").repartition("hi", "lo").sortWithinPartitions("hi", "lo", "chunk")
+    sorted_parts = parts.repartition("hi", "lo").sortWithinPartitions("hi", "lo", "chunk")
     return arrow_step(sorted_parts, step, "hi long, lo long, ends_sha256 string")
 
 
@@ -203,12 +209,11 @@ def prefix_trie(
     convs, remade = rebuilt(ordered_turns(turns, id_column, turn_column, role_column, text_column), group, most)
     visited = visits(remade)
     nodes = trie_nodes(convs, visited)
-    sums = saved(subtree_sums(nodes, block), "sums")
+    sums = subtree_sums(nodes, block)
     zero = F.lit(0).cast("long")
     last = visited.join(convs, "conv").where("depth = size").select("conv", "hi", "lo")
     ends = last.unionByName(convs.where("size = 0").select("conv", zero.alias("hi"), zero.alias("lo")))
-    digests = saved(end_digests(ends), "end-digests")
-    found = nodes.join(sums, "r").join(digests, ["hi", "lo"], "left")
+    found = nodes.join(sums, "r").join(end_digests(ends), ["hi", "lo"], "left")
     return found.select(
         F.col("conv").alias(id_column), "depth", F.col("up_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
         F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"), "enter", "leave",
