@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import sys
 import uuid
@@ -17,7 +18,6 @@ import zlib
 from array import array
 
 import numpy as np
-import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -37,8 +37,10 @@ CHECKSUMS = 0x80
 INDEX_FRAME = 0x184D2A50
 END_ID = 0
 LEVEL = 1
-# A worker's memory of encoded pieces starts anew at this many; results do not depend on it.
+# A worker's memory of encoded pieces, and of their parts of letters, starts anew at this many; results do not depend on it. Parts are
+# fewer than the pieces they make up and dearer to encode, so they are kept longer.
 KNOWN_PIECES = 600_000
+KNOWN_PARTS = 900_000
 
 _DOUBLE = re.compile(r"\s\s")
 _MIXED = re.compile(r" \s|\s ")
@@ -120,8 +122,8 @@ class Reader:
 
 # ======== encoding ========
 
-# A run of letters, with the space before it, and ASCII marks after it: the public splitting pattern parts them there.
-_WORD = regex.compile(r"( ?\p{L}+)([!-/:-@\[-`{-~]*)")
+# ASCII marks: after a run of letters, with the space before it, the public splitting pattern parts them from it.
+_MARKS = string.punctuation
 
 
 def _byte_letters() -> dict[int, str]:
@@ -135,8 +137,9 @@ class Encoder:
     """Ids of texts, as bytes. Each distinct piece between single spaces is encoded once by the library.
 
     Tokens of a byte-level vocabulary with the public splitting pattern never cross from a character that is
-    not white space into a space before another such character, so the ids of those pieces follow each other. A piece of
-    letters and marks goes to the library's model as these two parts, any other piece to its whole chain.
+    not white space into a space before another such character, nor over a single line end between two such, so the ids of
+    those pieces follow each other. A piece of letters and marks goes to the library's model as these two parts, any other
+    piece to its whole chain.
     Texts with other runs of white space that hold a space, or with a special token's string, go to the library whole.
     """
 
@@ -181,21 +184,22 @@ class Encoder:
         return found
 
     def _learn(self, new: set[str]) -> None:
-        rest = []
+        rest, pieces, part = [], self.pieces, self._part
         for piece in new:
-            match = _WORD.fullmatch(piece)
-            if match:
-                head, marks = match.groups()
-                self.pieces[piece] = self._part(head) + self._part(marks) if marks else self._part(head)
+            head = piece.rstrip(_MARKS)
+            # Exactly the letters of the splitting pattern.
+            if (head[1:] if head[:1] == " " else head).isalpha():
+                pieces[piece] = part(head) if len(head) == len(piece) else part(head) + part(piece[len(head) :])
             else:
                 rest.append(piece)
         for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self.pieces[piece] = self._bytes(found.ids)
+            pieces[piece] = self._bytes(found.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, the end id appended."""
         if len(self.pieces) > KNOWN_PIECES:
             self.pieces.clear()
+        if len(self.parts) > KNOWN_PARTS:
             self.parts.clear()
         split = [self._pieces(t) for t in texts]
         self._learn(set().union(*(p for p in split if p)).difference(self.pieces))
@@ -212,9 +216,11 @@ class Encoder:
             return None
         if not text:
             return []
-        if "\0" in text or text[0].isspace() or text[-1].isspace() or _DOUBLE.search(text) and _MIXED.search(text):
+        if "\0" in text or text[0].isspace() or text[-1].isspace():
             return None
-        return text.replace(" ", "\0 ").split("\0")
+        if _DOUBLE.search(text):
+            return None if _MIXED.search(text) else text.replace(" ", "\0 ").split("\0")
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
 
 # ======== folders of files ========
