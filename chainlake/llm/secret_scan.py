@@ -32,6 +32,7 @@ LEAST_RATIO = 12.0
 # Labelled samples: random strings for each alphabet, and documents whose words count as ordinary.
 RANDOM_STRINGS = 2000
 ORDINARY_DOCS = 2000
+LEAST_PLACES = 2
 SYMBOLS = 128
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -69,9 +70,11 @@ def base_spans(text: Column) -> Column:
 
 
 def labelled_samples(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(random boolean, sample string): hashed numbers in three alphabets, and the words of ORDINARY_DOCS documents.
+    """(random boolean, sample string, n): hashed numbers in three alphabets, and the words of ORDINARY_DOCS documents, as often as they come.
 
-    The documents are those whose ids hash lowest; words that the plain patterns find are left out.
+    The documents are those whose ids hash lowest; words that the plain patterns find are left out. So are words that only ever follow one
+    and the same word: a secret stands in one place, however many copies its document has, and must not pass for ordinary. Words count in
+    capitals as well.
     """
     digest = F.sha2(F.col("id").cast("string"), 256)
     packed = F.base64(F.unhex(digest))
@@ -85,25 +88,37 @@ def labelled_samples(spark: SparkSession, docs: DataFrame, id_column: str = "doc
         F.broadcast(lowest), "id", "left_semi"
     )
     bare = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    words = texts.select(F.explode(F.split(bare, f"[^{TOKEN}]+")).alias("sample")).where("length(sample) > 1")
-    return strings.select(F.lit(True).alias("random"), "sample").unionByName(words.select(F.lit(False).alias("random"), "sample"))
+    words = texts.select(F.split(bare, f"[^{TOKEN}]+").alias("words"))
+    # Beside the word before it, a word in a text of its own: none.
+    pairs = words.select(F.explode(F.arrays_zip(F.concat(F.array(F.lit("")), "words").alias("before"), F.col("words").alias("word"))).alias("p"))
+    met = pairs.select("p.before", "p.word").where("length(word) > 1").groupBy("word", "before").agg(F.count("*").alias("n"))
+    ordinary = met.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("places")).where(F.col("places") >= LEAST_PLACES)
+    # In capitals, an ordinary word is one still.
+    forms = ordinary.select(F.explode(F.array_distinct(F.array("word", F.upper("word")))).alias("sample"), "n")
+    return strings.select(F.lit(True).alias("random"), "sample", F.lit(1).cast("long").alias("n")).unionByName(
+        forms.select(F.lit(False).alias("random"), "sample", "n")
+    )
+
+
+def codes(run: Column) -> Column:
+    """The ASCII codes of a string's characters, others as they come. One pass: taking characters by their place would walk the string again for each."""
+    return F.transform(F.filter(F.split(run, ""), lambda c: F.length(c) > 0), lambda c: F.ascii(c))
 
 
 def train(samples: DataFrame) -> DataFrame:
     """(slot int, ratio double): the log-ratio of both models for each pair of characters, at 128 * first + second.
 
-    One is added to every pair's count. No more than 128 squared rows; pairs that no sample holds have none.
+    `samples` has (random, sample, n), n being how often a sample counts. One is added to every pair's count. No more than 128 squared rows;
+    pairs that no sample holds have none.
     """
-    chars = F.filter(F.split("sample", ""), lambda c: F.length(c) > 0)
-    pairs = samples.select(
-        "random",
-        F.explode(F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(chars) - 1, F.lit(1))),
-            lambda i: F.struct(F.ascii(F.get(chars, i - 1)).alias("a"), F.ascii(F.get(chars, i)).alias("b")),
-        )).alias("p"),
-    ).where("p.b IS NOT NULL AND p.a < 128 AND p.b < 128")
+    coded = samples.select("random", "n", codes(F.col("sample")).alias("codes")).where(F.size("codes") > 1)
+    length = F.size("codes") - 1
+    pairs = coded.select(
+        "random", "n", F.explode(F.arrays_zip(F.slice("codes", F.lit(1), length).alias("a"), F.slice("codes", F.lit(2), length).alias("b"))).alias("p")
+    ).where("p.a < 128 AND p.b < 128")
+    nothing = F.lit(0).cast("long")
     counted = pairs.groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(
-        F.count_if("random").alias("r"), F.count_if(~F.col("random")).alias("o")
+        F.sum(F.when(F.col("random"), F.col("n")).otherwise(nothing)).alias("r"), F.sum(F.when(F.col("random"), nothing).otherwise(F.col("n"))).alias("o")
     )
     totals = counted.groupBy("a").agg(F.sum("r").alias("all_r"), F.sum("o").alias("all_o"))
     alphabet = 67
@@ -123,21 +138,23 @@ def least_run(model: DataFrame) -> int:
     return math.ceil(LEAST_RATIO / most) + 1 if most > 0 else 2
 
 
-def _ratio(run: Column, i: Column, table: Column) -> Column:
-    slot = F.ascii(F.substring(run, i, F.lit(1))) * SYMBOLS + F.ascii(F.substring(run, i + 1, F.lit(1))) + 1
-    return F.element_at(table, slot.cast("int"))
+def ratios(run: Column, table: Column) -> Column:
+    """The log-ratio of each pair of neighbouring characters of a run of token characters."""
+    length = F.length(run) - 1
+    return F.zip_with(
+        F.slice(codes(run), F.lit(1), length), F.slice(codes(run), F.lit(2), length), lambda a, b: F.element_at(table, (a * SYMBOLS + b + 1).cast("int"))
+    )
 
 
 def best_ratio(run: Column, table: Column) -> Column:
     """Log-likelihood ratio of random against ordinary for the best stretch of a run of token characters, 0 at least."""
 
-    def add(acc, i):
-        total = F.greatest(acc["total"], F.lit(0.0)) + _ratio(run, i, table)
+    def add(acc, ratio):
+        total = F.greatest(acc["total"], F.lit(0.0)) + ratio
         return F.struct(total.alias("total"), F.greatest(acc["best"], acc["total"]).alias("best"))
 
     start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("best"))
-    steps = F.sequence(F.lit(1), F.length(run) - 1)
-    return F.aggregate(steps, start, add, lambda acc: F.greatest(acc["best"], acc["total"]))
+    return F.aggregate(ratios(run, table), start, add, lambda acc: F.greatest(acc["best"], acc["total"]))
 
 
 def stretches(run: Column, offset: Column, table: Column) -> Column:
@@ -148,20 +165,20 @@ def stretches(run: Column, offset: Column, table: Column) -> Column:
         span = F.struct((offset + acc["since"]).alias("start"), F.lit(3).alias("kind"), (offset + acc["end"]).alias("end"))
         return F.when(acc["peak"] >= LEAST_RATIO, F.concat(acc["spans"], F.array(span).cast(SPAN))).otherwise(acc["spans"])
 
-    def add(acc, i):
-        total = acc["total"] + _ratio(run, i, table)
+    def add(acc, ratio):
+        i, total = acc["i"] + 1, acc["total"] + ratio
         over = total <= 0
         return F.struct(
-            F.when(over, 0.0).otherwise(total).alias("total"), F.when(over, i).otherwise(acc["since"]).alias("since"),
+            i.alias("i"), F.when(over, 0.0).otherwise(total).alias("total"), F.when(over, i).otherwise(acc["since"]).alias("since"),
             F.when(over, 0.0).otherwise(F.greatest(acc["peak"], total)).alias("peak"),
             F.when(over | (total > acc["peak"]), i + 1).otherwise(acc["end"]).alias("end"),
             F.when(over, told(acc)).otherwise(acc["spans"]).alias("spans"),
         )
 
     start = F.struct(
-        F.lit(0.0).alias("total"), F.lit(0).alias("since"), F.lit(0.0).alias("peak"), F.lit(0).alias("end"), none.alias("spans")
+        F.lit(0).alias("i"), F.lit(0.0).alias("total"), F.lit(0).alias("since"), F.lit(0.0).alias("peak"), F.lit(0).alias("end"), none.alias("spans")
     )
-    return F.aggregate(F.sequence(F.lit(1), F.length(run) - 1), start, add, told)
+    return F.aggregate(ratios(run, table), start, add, told)
 
 
 def without(text: Column, spans: Column) -> Column:
