@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from chainlake.sources.store import qualified
+
 # UTC keeps `dt` and age arithmetic independent of the driver's zone. AQE coalesces small shuffle
 # partitions and splits skewed join partitions; both are on by default and stated here for clarity.
 SETTINGS = {
@@ -35,4 +37,5 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir is not set; it must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="chainlake-")
-    return f"{base.rstrip('/')}/chainlake/{purpose}-{uuid.uuid4().hex}"
+    # With its scheme, so that tasks which write files themselves write where Spark looks.
+    return qualified(spark, f"{base.rstrip('/')}/chainlake/{purpose}-{uuid.uuid4().hex}")

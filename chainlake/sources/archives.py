@@ -1,12 +1,12 @@
 """Zip archives holding one CSV each.
 
-`binaryFile` distributes the archives over tasks (each at most 2 GB, the reader's limit); decompression is
-the one thing Spark has no built-in for.
+`binaryFile` lists the archives and deals them out to tasks by their sizes; their content is not one of the columns read. A task
+opens an archive where it lies, goes by its central directory and streams the member, so an archive may be larger than a row and
+than a task's memory, and only what is needed of it is read. Decompression is the one thing Spark has no built-in for.
 """
 
 from __future__ import annotations
 
-import io
 import shutil
 import uuid
 import zipfile
@@ -36,10 +36,11 @@ def csv_members(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
 
 
 def _open_members(keep: Callable[[str, zipfile.ZipFile, zipfile.ZipInfo], bytes | None]) -> Callable:
-    """Arrow step: one row per archive; `keep` decides what becomes of the member's bytes."""
+    """Arrow step over paths: one row per archive; `keep` decides what becomes of the member's bytes."""
 
-    def one(path: str, blob: bytes) -> dict:
-        with zipfile.ZipFile(io.BytesIO(blob)) as archive:
+    def one(path: str) -> dict:
+        store, inner = open_store(path)
+        with store.open_input_file(inner) as source, zipfile.ZipFile(source) as archive:
             found = csv_members(archive)
             row = {"path": path, "n_csv": len(found), "found": str([i.filename for i in found])}
             if len(found) == 1:
@@ -50,16 +51,16 @@ def _open_members(keep: Callable[[str, zipfile.ZipFile, zipfile.ZipInfo], bytes
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, blob in zip(batch.column("path"), batch.column("content")):
-                yield pa.RecordBatch.from_pylist([one(path.as_py(), blob.as_py())], MEMBER_FIELDS)
+            for path in batch.column("path").to_pylist():
+                yield pa.RecordBatch.from_pylist([one(path)], MEMBER_FIELDS)
 
     return step
 
 
 def archive_files(reader, paths: str | list[str]) -> DataFrame:
-    """(path, modificationTime, length, content) of the zip files, from a batch or a streaming reader."""
+    """(path, modificationTime, length) of the zip files, from a batch or a streaming reader; none is opened."""
     reader = reader.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.zip")
-    return reader.load(paths)
+    return reader.load(paths).drop("content")
 
 
 def _described(members: DataFrame) -> DataFrame:
@@ -71,11 +72,11 @@ def _described(members: DataFrame) -> DataFrame:
 def read_archives(spark: SparkSession, paths: str | list[str], with_content: bool = False) -> DataFrame:
     """(path, member, bytes, n_csv, problema[, content]) per archive.
 
-    A bad archive stays in the result with its `problema` set; `checked` turns it into an error.
+    A bad archive stays in the result with its `problema` set; `checked` turns it into an error. Of the archives only the central directory
+    is read, and the member where its content, which must fit in a row, is asked for.
     """
     step = _open_members((lambda m, z, i: z.read(i)) if with_content else (lambda m, z, i: None))
-    files = archive_files(spark.read, paths).select("path", "content")
-    members = _described(files.mapInArrow(step, MEMBER_SCHEMA))
+    members = _described(archive_files(spark.read, paths).select("path").mapInArrow(step, MEMBER_SCHEMA))
     return members if with_content else members.drop("content")
 
 
@@ -126,7 +127,7 @@ def unpack(files: DataFrame, raw_dir: str) -> DataFrame:
             shutil.copyfileobj(source, target, 1 << 20)
         store.move(private, f"{root}/{member}")
 
-    members = _described(files.select("path", "content").mapInArrow(_open_members(write), MEMBER_SCHEMA))
+    members = _described(files.select("path").mapInArrow(_open_members(write), MEMBER_SCHEMA))
     destination = address(F.concat(F.lit(raw_dir.rstrip("/") + "/"), "member"))
     written = members.drop("content").withColumn("destino", destination)
     # Of files only: rows without a destination would meet in one group of the window.

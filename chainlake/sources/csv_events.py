@@ -10,17 +10,21 @@ A multi-line CSV is never split, so a file's rows reach one task in order and a
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from typing import BinaryIO
 from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chainlake.functions.text import address, decoded_name
+from chainlake.sources.store import open_store
 
 BROKEN = "_record"
 SLOT = "_c"
@@ -75,27 +79,53 @@ def _name_of(path: str) -> str:
     return unquote(path.rsplit("/", 1)[-1])
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow step over (path, value): the header of each file whose beginning the task reads."""
-    file = None
-    for batch in batches:
-        for path, start, _ in _runs(batch.column(0)):
-            if path != file:
-                file = path
-                header = header_names(next(csv.reader([batch.column(1)[start].as_py()])))
-                yield pa.RecordBatch.from_pydict({"arquivo_origem": [_name_of(path)], "colunas": [header]})
+HEADERS = "path string, length long, modificationTime timestamp, arquivo_origem string, colunas array<string>"
+_KEYS = ("path", "length", "modificationTime")
+
+
+def first_record(source: BinaryIO) -> list[str]:
+    """Cells of the first record that is not blank, quoted line ends included; what follows it is not read but for the rest of a block."""
+    text = io.TextIOWrapper(source, encoding="utf-8", errors="replace", newline="")
+    return next((cells for cells in csv.reader(text) if cells and cells != ["\ufeff"]), [])
 
 
-def file_layouts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(arquivo_origem, colunas): the header of every file, from one text scan without a shuffle."""
-    lines = spark.read.text(paths).where("_metadata.file_block_start = 0 and value <> ''")
-    found = lines.select(F.input_file_name().alias("path"), "value")
-    return found.mapInArrow(_first_lines, "arquivo_origem string, colunas array<string>")
+def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow step over (path, length, modificationTime): the header of each file, from its beginning alone; none of an empty one."""
+    for batch in batches:
+        for i, path in enumerate(batch.column(0).to_pylist()):
+            store, inner = open_store(path)
+            with store.open_input_file(inner) as source:
+                cells = first_record(source)
+            if cells:
+                name, header = pa.array([path.rsplit("/", 1)[-1]]), pa.array([header_names(cells)], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, 1) for c in batch.columns), name, header], [*batch.schema.names, "arquivo_origem", "colunas"])
+
 
+def file_layouts(spark: SparkSession, paths: str | list[str], index: str | None = None) -> DataFrame:
+    """(arquivo_origem, colunas): the header of every file that has one. Files are listed, and only their first records read.
 
-def discover_layout(spark: SparkSession, paths: str | list[str]) -> Layout:
-    """Names in order of first place, and width. Only distinct header names reach the driver."""
-    headers = file_layouts(spark, paths)
+    `index` is the folder of a table of headers known by path, length and time of change. Headers it has are taken from it, others are
+    read and added; a file that was written again is another one.
+    """
+    # The listing's content column is not selected, so no file is read for it.
+    files = spark.read.format("binaryFile").load(paths).select(*_KEYS)
+    if index is None:
+        return files.mapInArrow(_read_headers, HEADERS).select("arquivo_origem", "colunas")
+    try:
+        known = spark.read.schema(HEADERS).parquet(index)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = spark.createDataFrame([], HEADERS)
+    fresh = files.join(known.select(*_KEYS), list(_KEYS), "left_anti")
+    fresh.mapInArrow(_read_headers, HEADERS).write.mode("append").parquet(index)
+    every = spark.read.schema(HEADERS).parquet(index).dropDuplicates(list(_KEYS))
+    return every.join(files, list(_KEYS), "left_semi").select("arquivo_origem", "colunas")
+
+
+def discover_layout(spark: SparkSession, paths: str | list[str], index: str | None = None) -> Layout:
+    """Names in order of first place, and width. Only distinct header names reach the driver. `index` as in `file_layouts`."""
+    headers = file_layouts(spark, paths, index)
     names = (
         headers.select(F.posexplode("colunas").alias("place", "name"))
         .groupBy("name")

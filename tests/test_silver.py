@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chainlake.functions.chain import amount, chain_key
-from chainlake.operators import gold, silver
+from chainlake.operators import gold, numbering, silver
 from tests.helpers import SOURCE, tuples
 
 FIELDS = (
@@ -169,3 +169,25 @@ def test_events_without_an_id_of_their_own_are_not_copies(spark):
     )
     kept = sorted(r["line_number"] for r in silver.distinct_events(log).collect())
     assert kept == [1, 2, 3, 4]
+
+
+def test_slices_of_a_burst_hold_no_more_than_they_should(spark):
+    """All events of a chain in one instant or without a readable time: neither makes a slice larger."""
+    rows = [(str(i), "0", "MODI", "no time" if i < 40 else "2026-10-02T10:00:00", "P", "1", f"d{i % 3}.csv", i) for i in range(100)]
+    rows += [("900", "", "NEWT", "2026-10-02T09:00:00", "Q", "1", "d1.csv", 900)]
+    log = log_of(spark, rows)
+    plain = sorted(tuples(silver.history(log)), key=str)
+    found = silver.history(log, hot_rows=20, slice_rows=7)
+    assert sorted(tuples(found), key=str) == plain
+    numbered = numbering.numbered(log, ["chain", *silver.PLACE], "place")
+    assert [r["place"] for r in numbered.orderBy("place").collect()] == list(range(101))
+
+
+def test_numbering_follows_the_order_whatever_the_partitions(spark):
+    rows = [(i * 7919 % 1000, i % 2) for i in range(1000)] + [(5, 0)] * 50
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "a long, b long").repartition(parts)
+        found = numbering.numbered(df, [F.desc("b"), "a"], "place").orderBy("place").collect()
+        assert [r["place"] for r in found] == list(range(1050))
+        assert [(-r["b"], r["a"]) for r in found] == sorted((-b, a) for a, b in rows)
+    assert numbering.numbered(df.where("false"), ["a"], "place").count() == 0

@@ -1,6 +1,6 @@
 """Streams: files once, checks beside the load, state by slices, outcomes, stuck runs, redeliveries."""
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from chainlake.contract import JOB_RUNS
 from chainlake.operators import checks, silver
 from chainlake.plans import standins as s
-from chainlake.sources import bronze, control, csv_events
-from chainlake.streaming import ingest, outcomes, state
+from chainlake.sources import bronze, control, csv_events, generations
+from chainlake.streaming import ingest, outcomes, state, timers
 from tests.helpers import SOURCE, archive_of, folder_of, fresh, tuples
 from tests.test_silver import MORE, REAL, log_of
 
@@ -195,3 +195,105 @@ def test_bad_archives_do_not_hold_up_good_ones(spark, tmp_path):
     assert (Path(raw) / "a.csv").read_bytes() == HEADER + ROW % 1
     rejected = spark.read.parquet(seen).where("problema is not null").collect()
     assert [r["path"].endswith("bad.zip") for r in rejected] == [True]
+
+
+@pytest.mark.parametrize("blank_values, reopen_on, annulled", [("row", (), False), ("keep", ("MODI",), True)])
+def test_merged_state_equals_batch_with_its_options(spark, tmp_path, blank_values, reopen_on, annulled):
+    rows = REAL + MORE + [("", "", "NEWT", "2026-10-02T10:00:00", "N", "1", "d3.csv", i) for i in (1, 2)]
+    log = log_of(spark, rows)
+    columns = [*log.columns, "encerrada", "tem_origem"]
+    expected = sorted(tuples(silver.current_state(log, blank_values, reopen_on, annulled).select(columns)), key=str)
+    slices, path = fresh(tmp_path, "slices"), fresh(tmp_path, "state")
+    for i in range(0, len(rows), 3):
+        log_of(spark, rows[::-1][i:i + 3]).coalesce(1).write.mode("append").parquet(slices)
+    reader = spark.readStream.schema(spark.read.parquet(slices).schema).option("maxFilesPerTrigger", 1)
+    run(state.merged_stream(reader.parquet(slices), path, fresh(tmp_path, "offsets"), blank_values, reopen_on, buckets=2, most=2))
+    found = lambda: sorted(tuples(state.merged_state(spark, path, log.columns, annulled).select(columns)), key=str)
+    assert found() == expected
+    assert generations.vacuum(spark, path) > 0 and found() == expected
+
+
+def totals(spark, path):
+    return {r["k"]: r["n"] for r in generations.read(spark, path).groupBy("k").agg(F.max("n").alias("n")).collect()}
+
+
+def test_generations_fold_full_buckets_and_replay(spark, tmp_path):
+    path = fresh(tmp_path, "table")
+    fold = lambda df: df.groupBy("k").agg(F.max("n").alias("n"))
+    bucket = F.pmod(F.col("k"), F.lit(2)).cast("int")
+    with pytest.raises(FileNotFoundError):
+        generations.read(spark, path)
+    add = lambda batch, rows: generations.merge(spark.createDataFrame(rows, "k long, n long"), path, batch, fold, bucket, 2)
+    add(0, [(1, 1), (2, 1)])
+    add(1, [(1, 2)])
+    add(2, [(1, 3), (3, 1)])
+    assert totals(spark, path) == {1: 3, 2: 1, 3: 1}
+    # Bucket 1 had two parts and became one; bucket 0 was not touched.
+    assert generations.read(spark, path).count() == 3
+    assert not list(Path(path).glob("generation=2/bucket=0"))
+    add(2, [(1, 3), (3, 1)])
+    assert totals(spark, path) == {1: 3, 2: 1, 3: 1} and generations.read(spark, path).count() == 3
+    add(3, [])
+    # What a batch wrote without committing is not read.
+    spark.createDataFrame([(9, 9)], "k long, n long").write.parquet(f"{path}/generation=4/bucket=1")
+    assert totals(spark, path) == {1: 3, 2: 1, 3: 1}
+    assert generations.vacuum(spark, path, keep=1) == 2 and totals(spark, path) == {1: 3, 2: 1, 3: 1}
+
+
+def test_stuck_runs_by_timer(spark, tmp_path):
+    at = lambda h, m=0: datetime(2026, 10, 5, h, m, tzinfo=timezone.utc)
+    schema, folder, target, offsets = "name string, event_time timestamp, state string", *(fresh(tmp_path, n) for n in ("events", "out", "offsets"))
+
+    def go(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        events = spark.readStream.schema(schema).parquet(folder)
+        alerts = timers.stuck_alert_stream(events, SOURCE)
+        run(alerts.writeStream.option("path", target).option("checkpointLocation", offsets).trigger(once=True).start())
+        return sorted((r["name"] or "", r["start_date"].hour) for r in spark.read.parquet(target).collect())
+
+    first = go(
+        ("fine", at(1), "RUNNING"), ("fine", at(2), "SUCCEEDED"), ("dead", at(1), "RUNNING"), ("late", at(1), "RUNNING"), ("late", at(9), "FAILED"),
+        ("again", at(1), "RUNNING"), ("again", at(1, 30), "SUCCEEDED"), ("again", at(2), "RUNNING"), (None, at(3), "RUNNING"),
+        ("restarted", at(1), "RUNNING"), ("restarted", at(2), "RUNNING"), ("restarted", at(2, 5), "STOPPED"), ("early", at(5), "SUCCEEDED"), ("no time", None, "RUNNING"),
+    )
+    # Nothing came after these events: the clock alone told them.
+    assert first == [("", 3), ("again", 2), ("dead", 1), ("late", 1)]
+    # An end that came before its start; a run told once though its end comes late; a new start of a told run.
+    assert go(("early", at(4), "RUNNING"), ("again", at(8), "SUCCEEDED"), ("dead", at(6), "RUNNING")) == sorted([*first, ("dead", 6)])
+    with pytest.raises(ValueError):
+        timers.stuck_alert_stream(spark.readStream.schema(schema).parquet(folder), SOURCE, forget=timedelta(hours=1))
+
+
+def test_a_run_started_again_is_open(spark, tmp_path):
+    at = lambda h: datetime(2026, 10, 5, h, tzinfo=timezone.utc)
+    events = events_stream(
+        spark, tmp_path, "name string, event_time timestamp, state string",
+        [("r", at(1), "RUNNING"), ("r", at(2), "FAILED"), ("r", at(3), "RUNNING")],
+    )
+    kept = fresh(tmp_path, "runs")
+    run(outcomes.run_stream(events, kept, fresh(tmp_path, "offsets")))
+    assert [(r["status"], r["start_date"].hour) for r in outcomes.read_runs(spark, kept).collect()] == [("RUNNING", 3)]
+
+
+def test_alerts_beside_the_streams(spark, tmp_path):
+    log, alerts = fresh(tmp_path, "log"), fresh(tmp_path, "alerts")
+    events = events_stream(spark, tmp_path, "job_name string, job_run_id string, state string", [("j", "1", "SUCCEEDED"), ("j", "2", "FAILED")])
+    details = spark.createDataFrame([], JOB_RUNS)
+    for _ in range(2):  # the second checkpoint is another stream's and leaves its own
+        run(outcomes.record_outcomes(events, details, log, fresh(tmp_path, "offsets"), alerts, SOURCE))
+    assert [r["message"].count("run 2") for r in control.read_alerts(spark, alerts).collect()] == [1, 1]
+    with pytest.raises(ValueError):
+        outcomes.record_outcomes(events, details, log, fresh(tmp_path, "offsets"), alerts)
+
+
+def test_volume_alerts_beside_the_ingest(spark, tmp_path):
+    folder = folder_of(tmp_path, {"a.csv": HEADER + ROW % 1})
+    log, alerts = fresh(tmp_path, "log"), fresh(tmp_path, "alerts")
+    days = [(f"2026-10-0{d}", f"e{d}", f"raw/swaps/{d}.csv", 100) for d in (1, 2, 3, 4)]
+    past = spark.createDataFrame(days, "dt string, execution_id string, csv string, linhas long").withColumn("problemas", F.array().cast("array<string>"))
+    for day in ("2026-10-01", "2026-10-02", "2026-10-03", "2026-10-04"):
+        control.append_control(control.volume_records(past.where(F.col("dt") == day).drop("dt")), log, f"{day}T12:00:00+00:00")
+    layout = csv_events.discover_layout(spark, folder)
+    run(ingest.ingest_stream(spark, folder, fresh(tmp_path, "offsets"), SOURCE, layout, fresh(tmp_path, "bronze"), log, 5, CLOCK, alerts))
+    (alert,) = control.read_alerts(spark, alerts).collect()
+    assert "a.csv" in alert["message"] and "1 linhas" in alert["message"]
