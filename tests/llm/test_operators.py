@@ -1,6 +1,8 @@
 """Each operator's query against its plain version, over whole test tables."""
 
 import random
+import re
+import string
 import zlib
 
 import numpy as np
@@ -69,6 +71,16 @@ def test_components_of_a_chain_a_star_and_a_loop(spark):
     assert components.components(df.where("false"), "a", "b").count() == 0
 
 
+def test_signatures_bound_how_many_shingles_differ():
+    rng = np.random.default_rng(4)
+    for n, m, shared in ((10, 12, 8), (300, 280, 250), (5000, 400, 390), (20_000, 19_000, 0), (0, 3, 0)):
+        both = rng.integers(0, 1 << 63, n + m - shared).astype(np.uint64)
+        a, b = both[:n], both[n - shared :]
+        differ = near_copies.apart(near_copies.signature(a), near_copies.signature(b))
+        assert differ <= n + m - 2 * shared and near_copies.apart(near_copies.signature(a), near_copies.signature(a)) == 0
+        assert shared or differ > (n + m) / 9
+
+
 def test_near_copies_query_tables(spark, sf_check):
     docs = texts(spark, sf_check)
     found = {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(spark.read.parquet(f"{sf_check}/documents.parquet")).collect()}
@@ -412,6 +424,51 @@ def test_short_secrets_and_secrets_within_longer_runs(spark, sf_check):
     assert not found[5]
 
 
+def plain_stretches(text, base, ratio):
+    """Spans of the stretches that reach the limit, of what base spans leave, by a table of the ratio of each pair."""
+    for _, start, end in base:
+        text = text[:start] + " " * (end - start) + text[end:]
+    found = []
+    for run in re.finditer(f"[{secret_scan.TOKEN}]+", text):
+        total = peak = 0.0
+        since = end = run.start()
+        for i in range(run.start(), run.end() - 1):
+            total += ratio.get((text[i], text[i + 1]), 0.0)
+            if total <= 0:
+                found += [(since, end)] if peak >= secret_scan.LEAST_RATIO else []
+                total = peak = 0.0
+                since = end = i + 1
+            elif total > peak:
+                peak, end = total, i + 2
+        found += [(since, end)] if peak >= secret_scan.LEAST_RATIO else []
+    return found
+
+
+def test_added_spans_by_brute_force_and_a_key_in_a_small_corpus(spark, sf_small, monkeypatch):
+    rng = random.Random(8)
+    key = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    planted = [(10_000 + i, f"the build takes {key(rng.randint(16, 40))} and é/{key(20)}.x for now") for i in range(20)]
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id long, text string"))
+    models, train = [], secret_scan.train
+    monkeypatch.setattr(secret_scan, "train", lambda samples: models.append(train(samples)) or models[-1])
+    found = {r["doc_id"]: r for r in secret_scan.secrets(docs).collect()}
+    ratio = {(chr(r["slot"] // 128), chr(r["slot"] % 128)): r["ratio"] for r in models[0].collect()}
+    for d, text in map(tuple, docs.collect()):
+        added = [(s["start"], s["end"]) for s in found[d]["spans"] if s["kind"] == 3]
+        assert added == plain_stretches(text or "", plain.base_spans(text), ratio), d
+    # Keys of the scanned texts themselves, which are few, do not pass for ordinary.
+    assert all(any(s["kind"] == 3 for s in found[d]["spans"]) for d, _ in planted)
+
+
+def test_a_very_long_run(spark, sf_small):
+    rng = random.Random(9)
+    run = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(300_000))
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").select("doc_id", "text").limit(50)
+    both = docs.unionByName(spark.createDataFrame([(-1, run)], "doc_id long, text string"))
+    (row,) = secret_scan.secrets(both).where("doc_id = -1").collect()
+    assert sum(s["end"] - s["start"] for s in row["spans"]) > 250_000
+
+
 # ======== 9 ========
 
 
