@@ -1,7 +1,8 @@
 """WARC derivatives: metadata and plain-text conversion records of response records.
 
 A derived record names its source in WARC-Refers-To, repeats its target, date and payload digest, and has a digest of its
-own block. Files are gzip, one member a record, so that any record can be read alone.
+own block. Files are written as gzip, one member a record, so that any record can be read alone; files of many records in a member, or not
+compressed at all, are read as well. Bodies are decoded as their HTTP headers say before text is taken from them.
 """
 
 from __future__ import annotations
@@ -37,13 +38,16 @@ RECORD = (
 )
 NAMES = tuple(f.split()[0] for f in RECORD.split(", "))
 
-_BREAK = re.compile(r"<(?:/?(?:p|div|article|section|h[1-6]|li|ul|ol|tr|table|header|footer|nav|aside|blockquote|pre|title)\b[^>]*|br\b[^>]*)>", re.I)
+# Within a tag: a quote opens a value only after an equals sign, and no choice is taken back, so that long pages take linear time.
+_INSIDE = r"""(?>=\s*(?:"[^"]*"|'[^']*')|[^>])*+"""
+_BREAK = re.compile(r"<(?:/?(?:p|div|article|section|h[1-6]|li|ul|ol|tr|table|header|footer|nav|aside|blockquote|pre|title)\b|br\b)" + _INSIDE + ">", re.I)
 _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S)
-_TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
+_TAG = re.compile("<[a-zA-Z/!?]" + _INSIDE + ">")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title|\Z)", re.I | re.S)
 _LINK = re.compile(r"""<(a|img|link|script|iframe|form)\b[^>]*?\s(href|src|action)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _META = re.compile(r"<meta\b([^>]*)>", re.I)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", re.I)
 _CHARSET = re.compile(r"""charset=["']?([A-Za-z0-9_.:-]+)""", re.I)
 
 
@@ -109,22 +113,67 @@ def parsed(raw: bytes) -> dict | None:
     }
 
 
-def members(source) -> Iterator[bytes]:
-    """The contents of a gzip file's members, one at a time; at most one is held."""
-    unpacker, parts, rest = zlib.decompressobj(31), [], b""
-    while True:
+def unpacked(source) -> Iterator[bytes]:
+    """The contents of a file in pieces: of one gzip member after another, or as they are. A member cut short raises an error."""
+    rest = source.read(CHUNK)
+    if rest[:2] != b"\x1f\x8b":
+        while rest:
+            yield rest
+            rest = source.read(CHUNK)
+        return
+    unpacker, begun = zlib.decompressobj(31), False
+    while rest:
+        # Bounded, however well a member is compressed.
+        yield unpacker.decompress(rest, CHUNK)
+        begun, rest = True, unpacker.unconsumed_tail
+        if unpacker.eof:
+            rest, begun = unpacker.unused_data, False
+            unpacker = zlib.decompressobj(31)
         rest = rest or source.read(CHUNK)
-        if not rest:
-            if parts:
-                raise ValueError("the archive ends within a record")
+    if begun:
+        tail = unpacker.flush()
+        if not unpacker.eof:
+            raise ValueError("the archive ends within a record")
+        yield tail
+
+
+def split_records(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """The records of a file's contents, header and block, by their Content-Length; at most one is held. What lies between is left out.
+
+    A record without a length lasts until the next begins; one that is cut short raises an error."""
+    held, ended = bytearray(), False
+
+    def more() -> bool:
+        nonlocal ended
+        piece = b"" if ended else next(pieces, None)
+        ended = piece is None or ended
+        held.extend(piece or b"")
+        return not ended
+
+    while True:
+        start = held.find(b"WARC/")
+        while start < 0:
+            del held[: max(0, len(held) - 4)]
+            if not more():
+                return
+            start = held.find(b"WARC/")
+        del held[:start]
+        while (at := held.find(b"\r\n\r\n")) < 0 and more():
+            pass
+        if at < 0:
             return
-        parts.append(unpacker.decompress(rest))
-        rest = unpacker.unused_data
-        if unpacker.eof:
-            yield b"".join(parts)
-            unpacker, parts = zlib.decompressobj(31), []
+        told = _LENGTH.search(held[: at + 2])
+        if told:
+            size = at + 4 + int(told[1])
+            while len(held) < size:
+                if not more():
+                    raise ValueError("the archive ends within a record")
         else:
-            rest = b""
+            while (size := held.find(b"\r\n\r\nWARC/", at)) < 0 and more():
+                pass
+            size = len(held) if size < 0 else size + 4
+        yield bytes(held[:size])
+        del held[:size]
 
 
 # ======== folders of files ========
@@ -167,7 +216,7 @@ def read_warc(files: DataFrame) -> DataFrame:
                 store, inner = open_store(path)
                 held = []
                 with store.open_input_stream(inner, compression=None) as source:
-                    for raw in members(source):
+                    for raw in split_records(unpacked(source)):
                         record = parsed(raw)
                         if record:
                             held.append(record)
@@ -195,6 +244,44 @@ def split_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
     return lines[0], headers, body
 
 
+def unchunked(body: bytes) -> bytes:
+    """The data of a chunked body; from where its sizes make no sense on, the rest as it is."""
+    parts, at = [], 0
+    while at < len(body):
+        line, mark, _ = body[at : at + 1000].partition(b"\r\n")
+        try:
+            size = int(line.partition(b";")[0], 16) if mark else -1
+        except ValueError:
+            size = -1
+        if size < 0:
+            return body if not at else b"".join(parts) + body[at:]
+        if not size:
+            break
+        at += len(line) + 2
+        parts.append(body[at : at + size])
+        at += size + 2
+    return b"".join(parts)
+
+
+def content_of(headers: dict[str, str], body: bytes) -> tuple[bytes, str | None]:
+    """(a body's content, the encoding that could not be taken off or null): chunks are joined, gzip and deflate undone."""
+    if "chunked" in headers.get("transfer-encoding", "").lower():
+        body = unchunked(body)
+    for name in reversed([n.strip().lower() for n in headers.get("content-encoding", "").split(",") if n.strip()]):
+        if name == "identity":
+            continue
+        for bits in {"gzip": (47,), "x-gzip": (47,), "deflate": (15, -15)}.get(name, ()):
+            unpacker = zlib.decompressobj(bits)
+            try:
+                body = unpacker.decompress(body) + unpacker.flush()
+                break
+            except zlib.error:
+                continue
+        else:
+            return body, name
+    return body, None
+
+
 def decoded(body: bytes, content_type: str) -> str:
     """The body as text, by the header's charset, else the page's own, else UTF-8; wrong bytes are replaced."""
     told = _CHARSET.search(content_type) or _CHARSET.search(body[:1024].decode("ascii", "replace"))
@@ -211,12 +298,14 @@ def plain_text(page: str) -> str:
     return "\n".join(t for t in (" ".join(line.split()) for line in text.split("\n")) if t)
 
 
-def metadata_of(source: dict, status: str, headers: dict[str, str], page: str | None, body: bytes) -> str:
-    """What the metadata record says, as JSON with sorted names."""
+def metadata_of(source: dict, status: str, headers: dict[str, str], page: str | None, body: bytes, encoding: str | None = None) -> str:
+    """What the metadata record says, as JSON with sorted names; the encoding of a body that could not be decoded."""
     told = {
         "source-record": source["record_id"], "source-headers": source["source_headers"], "status": status, "http-headers": headers,
         "payload-length": len(body), "payload-digest": digest(body),
     }
+    if encoding is not None:
+        told["not-decoded"] = encoding
     if page is not None:
         seen = _HIDDEN.sub("", page)
         title = _TITLE.search(seen)
@@ -233,12 +322,15 @@ def derived(source: dict) -> list[dict]:
     status, headers, body = split_http(source["block"] or b"")
     kind = headers.get("content-type", "text/html" if not status else "")
     marked = "html" in kind.lower()
-    page = decoded(body, kind) if marked or kind.lower().startswith("text/") else None
+    content, encoding = content_of(headers, body)
+    page = decoded(content, kind) if encoding is None and (marked or kind.lower().startswith("text/")) else None
     common = {
         "refers_to": source["record_id"], "target_uri": source["target_uri"], "warc_date": source["warc_date"],
-        "payload_digest": source["payload_digest"] or digest(body), "source_headers": None,
+        "payload_digest": source["payload_digest"] or digest(body),
+        # Lines that name none of the derived record's own fields are written with it.
+        "source_headers": source["source_headers"],
     }
-    told = metadata_of(source, status, headers, page if marked else None, body).encode()
+    told = metadata_of(source, status, headers, page if marked else None, body, encoding).encode()
     out = [{"warc_type": "metadata", "content_type": "application/json", "block": told, **common}]
     if page is not None:
         text = (plain_text(page) if marked else page).encode()
@@ -292,5 +384,5 @@ def responses(pages: DataFrame, id_column: str = "page_id", url_column: str = "u
 
 def warc_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path) of the WARC files below a folder, listed by Spark."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").option("recursiveFileLookup", "true").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc{,.gz}").option("recursiveFileLookup", "true").load(folder)
     return files.select("path")

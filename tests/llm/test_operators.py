@@ -1,5 +1,6 @@
 """Each operator's query against its plain version, over whole test tables."""
 
+import gzip
 import random
 import re
 import string
@@ -7,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from chainlake.llm import components, language, mixing, near_copies, perplexity, queries, secret_scan, simhash, sketches, templates, token_files, warc, winnowing
@@ -283,6 +285,42 @@ def test_warc_files_keep_records(spark):
     told = next(bytes(r["block"]).decode() for r in derived if r["warc_type"] == "metadata" and r["refers_to"] == "<urn:uuid:1>")
     assert '"url": "/x"' in told and '"title": "T&t"' in told and "WARC-IP-Address: 1.2.3.4" in told and '"x": "1"' in told
     assert warc.parsed(b"nothing") is None
+    conversion = next(r for r in derived if r["warc_type"] == "conversion")
+    assert "X-Odd: a: b" in warc.header_of(conversion) and warc.header_of(conversion).count("Content-Length") == 1
+
+
+def record_bytes(number, body, headers=b"Content-Type: text/html\r\n"):
+    block = b"HTTP/1.1 200 OK\r\n" + headers + b"\r\n" + body
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{number}>\r\nContent-Length: {len(block)}\r\n\r\n".encode()
+    return head + block + b"\r\n\r\n"
+
+
+def test_shared_members_plain_files_and_encoded_bodies(spark, tmp_path):
+    page = "<p title='a>b'>one</p><p title=Bob's>two é</p>".encode()
+    deflate = zlib.compressobj(9, zlib.DEFLATED, -15)
+    records = [
+        record_bytes(1, page), record_bytes(2, gzip.compress(page), b"Content-Type: text/html\r\nContent-Encoding: gzip\r\n"),
+        record_bytes(3, b"5;x=1\r\n" + page[:5] + b"\r\n%x\r\n" % len(page[5:]) + page[5:] + b"\r\n0\r\n\r\n", b"Content-Type: text/html\r\nTransfer-Encoding: chunked\r\n"),
+        record_bytes(4, zlib.compress(page), b"Content-Type: text/html\r\nContent-Encoding: deflate\r\n"),
+        record_bytes(5, deflate.compress(page) + deflate.flush(), b"Content-Type: text/html\r\nContent-Encoding: deflate\r\n"),
+        record_bytes(6, b"\x0b\x02", b"Content-Type: text/html\r\nContent-Encoding: br\r\n"), record_bytes(7, b"WARC/1.0\r\n\r\n" * 50), record_bytes(8, b"x" * 3_000_000),
+    ]
+    shared, own, plainly = tmp_path / "shared.warc.gz", tmp_path / "own.warc.gz", tmp_path / "plain.warc"
+    shared.write_bytes(gzip.compress(b"".join(records[:4])) + gzip.compress(b"junk" + b"".join(records[4:])))
+    own.write_bytes(b"".join(map(gzip.compress, records)))
+    plainly.write_bytes(b"\r\n".join(records))
+    assert warc.warc_files(spark, str(tmp_path)).count() == 3
+    for path in (shared, own, plainly):
+        read = warc.read_warc(spark.createDataFrame([(str(path),)], "path string"))
+        found = warc.derive(read).collect()
+        text = {r["refers_to"][-2]: bytes(r["block"]).decode() for r in found if r["warc_type"] == "conversion"}
+        assert {k: text.get(k) for k in "123456"} == {**dict.fromkeys("12345", "one\ntwo é"), "6": None} and len(text["8"]) == 3_000_000
+        told = next(bytes(r["block"]).decode() for r in found if r["warc_type"] == "metadata" and r["refers_to"] == "<urn:uuid:6>")
+        assert '"not-decoded": "br"' in told and len(found) == 15
+    cut = tmp_path / "cut.warc"
+    cut.write_bytes(records[0] + records[1][:-40])
+    with pytest.raises(PySparkException, match="ends within a record"):
+        warc.read_warc(spark.createDataFrame([(str(cut),)], "path string")).collect()
 
 
 # ======== 5 ========
@@ -338,6 +376,27 @@ def test_marginals_meet_their_targets(spark, sf_check):
     assert abs(kept - mixing.BUDGET) < 0.02 and all(0 <= r["probability"] <= 1 for r in chances)
 
 
+def test_mixture_to_given_targets(spark, sf_check):
+    docs = spark.read.parquet(f"{sf_check}/documents.parquet")
+    langs = [r[0] for r in docs.select("lang").distinct().collect()]
+    sources = [r[0] for r in docs.select("source").distinct().collect()]
+    by_lang = spark.createDataFrame([(v, float(i + 1)) for i, v in enumerate(langs)] + [("no such language", 50.0), (langs[0], 1.0)], "lang string, target double")
+    by_source = spark.createDataFrame([(v, 2.0 + i) for i, v in enumerate(sources)], "source string, target double")
+    rows, cells = mixing.mixture(docs, targets_by={"lang": by_lang, "source": by_source}, budget=0.2)
+    goals = {"lang": mixing.given_targets(cells, "lang", by_lang), "source": mixing.given_targets(cells, "source", by_source)}
+    goals["topic"] = mixing.targets(cells, "topic", mixing.FLATTEN["topic"])
+    found = mixing.residual(cells, goals).collect()
+    assert all(abs(r["share"] - r["target"]) < 1e-5 for r in found) and abs(sum(r["target"] for r in found) - 3) < 1e-9
+    kinds = {(r["dimension"], r["value"]): r["target"] for r in found}
+    total = sum(i + 1 for i in range(len(langs))) + 1
+    assert abs(kinds["lang", langs[0] or mixing.NONE] - 2 / total) < 1e-9 and ("lang", "no such language") not in kinds
+    assert {r["doc_id"] for r in rows.collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
+    with pytest.raises(ValueError):
+        mixing.mixture(docs, targets_by={"year": by_lang})
+    with pytest.raises(ValueError):
+        mixing.mixture(docs, targets_by={"lang": by_lang.where("lang = 'no such language'")})
+
+
 # ======== 7 ========
 
 
@@ -372,7 +431,10 @@ def test_a_language_with_few_trusted_texts_is_not_judged_by_others(spark):
     labels = spark.createDataFrame([(i, 1) for i in [*range(60), *range(100, 105)]], "doc_id long, quality int")
     found = {r["doc_id"]: r for r in perplexity.scored(docs, labels).collect()}
     assert [d for d, r in found.items() if not r["kept"]] == [300]
-    assert found[100]["threshold"] is None and found[0]["threshold"] is not None
+    assert found[200]["threshold"] is None and found[100]["threshold"] > found[100]["perplexity"] and found[0]["threshold"] is not None
+    # The margin falls with the number of trusted texts, without a step.
+    limits = [perplexity.MARGIN * (1 + perplexity.FEW / n) for n in range(1, 60)]
+    assert all(a > b for a, b in zip(limits, limits[1:]))
     assert perplexity.kept_rows(docs, labels).count() == len(rows) - 1
 
 
