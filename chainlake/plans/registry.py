@@ -962,6 +962,29 @@ def stream_checks(spark, sf_dir):
     return read_control(spark, log).groupBy("origem", "regra").agg(F.count("*").alias("registros"))
 
 
+@query(f"""
+WITH u AS (SELECT arquivo_origem, diss_id, count(*) AS n,
+    sum(CASE WHEN action IN ('NEWT', 'MODI', 'CORR', 'TERM', 'EROR', 'REVI') THEN 1 ELSE 0 END) AS dom FROM ({s.EVENT_LOG_SQL}) GROUP BY 1, 2),
+m AS (SELECT arquivo_origem, sum(n) AS rows, sum(dom) / sum(n) AS dom, sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) / sum(n) AS uni FROM u GROUP BY 1),
+r AS (SELECT arquivo_origem, rows, x.regra, true AS passed, CAST(NULL AS DOUBLE) AS v FROM m, (VALUES ('ColumnExists "Dissemination Identifier"'),
+    ('ColumnExists "Original Dissemination Identifier"'), ('ColumnExists "Action type"'), ('ColumnExists "Event timestamp"')) x(regra)
+  UNION ALL SELECT arquivo_origem, rows, 'IsComplete "Dissemination Identifier"', true, 1 FROM m
+  UNION ALL SELECT arquivo_origem, rows, 'RowCount > 0', rows > 0, rows FROM m
+  UNION ALL SELECT arquivo_origem, rows, 'ColumnValues "Action type" in ["NEWT", "MODI", "CORR", "TERM", "EROR", "REVI"]', dom = 1, dom FROM m
+  UNION ALL SELECT arquivo_origem, rows, 'Uniqueness "Dissemination Identifier" > 0.99', uni > 0.99, uni FROM m)
+SELECT arquivo_origem, regra, CASE WHEN passed THEN 'Passed' ELSE 'Failed' END AS outcome, round(v, 6) AS metrica_valor,
+  CASE WHEN passed THEN 'ok' ELSE 'problema' END AS status, CAST(rows AS BIGINT) AS linhas FROM r""")
+def stream_check_values(spark, sf_dir):
+    """What the records of the streaming ingest say: each file's outcomes and metrics, beside the rows its volume record counts."""
+    raw, log = csv_folder(spark, sf_dir), work_folder(spark, "control")
+    layout = csv_events.discover_layout(spark, raw)
+    _finished(ingest.ingest_stream(spark, raw, work_folder(spark, "offsets"), SOURCE, layout, work_folder(spark, "bronze"), log))
+    records = read_control(spark, log)
+    volumes = records.where("origem = 'quality_check'").select("execution_id", base_name(F.col("csv")).alias("arquivo_origem"), "linhas")
+    rules = records.where("origem = 'glue_data_quality'").select("execution_id", "regra", "outcome", F.round("metrica_valor", 6).alias("metrica_valor"), "status")
+    return rules.join(volumes, "execution_id").drop("execution_id")
+
+
 @query(f"""
 SELECT 'quality_check' AS origem, count(*) AS registros FROM ({ARCHIVE_FILES_SQL})
 UNION ALL SELECT 'glue_data_quality', 8 * count(*) FROM ({ARCHIVE_FILES_SQL})""")
