@@ -1154,3 +1154,14 @@ def stream_first_arrivals(spark, sf_dir):
     return spark.read.parquet(target).select("chave")
 
 
+
+
+@query("""
+SELECT event_type || '-' || user_id || '-zip' AS chave, count(*) AS entregas, count(*) - 1 AS repetidas FROM events GROUP BY 1""")
+def stream_registered_arrivals(spark, sf_dir):
+    """Every delivery of every name kept and told: a name's first, whichever micro-batch brings it, and its redeliveries."""
+    registry, flagged = work_folder(spark, "registry"), work_folder(spark, "arrivals")
+    rows = sliced_stream(spark, s.arrivals(spark, sf_dir).repartition(4, "length"), work_folder(spark, "slices"), 1)
+    _finished(outcomes.registered_arrivals(rows, registry, flagged, work_folder(spark, "offsets"), buckets=8, most=2))
+    found = spark.read.parquet(flagged)
+    return found.groupBy("chave").agg(F.count("*").alias("entregas"), F.count_if("duplicado").alias("repetidas"))

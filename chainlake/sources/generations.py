@@ -49,12 +49,17 @@ def _parts(spark: SparkSession, path: str, listed: dict[str, list[int]]) -> Data
     return spark.read.option("basePath", path).parquet(*paths).drop(GENERATION)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """All parts as of the last commit, not folded, without their bucket."""
-    commits = _commits(spark, path)
+def read(spark: SparkSession, path: str, before: int | None = None, buckets: set[int] | None = None) -> DataFrame | None:
+    """All parts as of the last commit, or the last `before` a batch, not folded, without their bucket; of some `buckets`, or of all. None
+    where there is no such part; without any commit and without `before`, an error."""
+    commits = [c for c in _commits(spark, path) if before is None or c < before]
     if not commits:
+        if before is not None:
+            return None
         raise FileNotFoundError(f"nothing was committed below {path}")
-    return _parts(spark, path, _listed(spark, path, commits[-1])).drop(BUCKET)
+    listed = _listed(spark, path, commits[-1])
+    wanted = listed if buckets is None else {b: found for b, found in listed.items() if int(b) in buckets}
+    return _parts(spark, path, wanted).drop(BUCKET) if wanted else None
 
 
 def merge(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,6 +11,8 @@ from chainlake.contract import JOB_STAGE, Contract
 from chainlake.functions.status import is_terminal
 from chainlake.operators.checks import failure_alerts
 from chainlake.operators.correlate import enrich_outcome, keyed_arrivals
+from chainlake.operators.keyed import attach
+from chainlake.sources import generations
 from chainlake.sources.control import append_alerts, append_control, batch_leaf, batch_time, outcome_records
 
 
@@ -19,6 +22,49 @@ def first_arrivals(arrivals: DataFrame, horizon: str = "7 days", by_content: boo
     return keyed.dropDuplicatesWithinWatermark(["identidade"]).drop("identidade")
 
 
+def registered_arrivals(
+    arrivals: DataFrame, registry_path: str, flagged_path: str, checkpoint: str, by_content: bool = False, buckets: int = 64, most: int = 4,
+) -> StreamingQuery:
+    """Write every arrival (path, arrived_at, ...) of the stream below `flagged_path`, with `duplicado`, whether its identity was met before, and
+    `atrasado`, whether it came after a later arrival of that identity. None is dropped and no identity forgotten.
+
+    Identities are kept with their first arrival in a table of buckets (`sources.generations`), of which a micro-batch reads and
+    writes those it touches. Within a micro-batch the first by time and path starts a run; rows equal in both are one delivery's copies, of which one
+    is the first. A replayed batch is judged by what was known before it, and replaces what it wrote.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        keyed = keyed_arrivals(batch, by_content)
+        bucket = F.pmod(F.xxhash64("identidade"), F.lit(buckets)).cast("int")
+        mine = keyed.groupBy("identidade").agg(F.min("arrived_at").alias("primeira"))
+        touched = {r["b"] for r in mine.select(bucket.alias("b")).distinct().collect()}
+        known = generations.read(spark, registry_path, batch_id, touched)
+        if known is None:
+            known = mine.where("false")
+        first = fold_first(known).withColumnRenamed("primeira", "antes")
+        place = W.partitionBy("identidade").orderBy("arrived_at", "path")
+        # `row_number() = 1` of many deliveries of one identity is limited before the shuffle; the others keep their rows.
+        judged = attach(keyed.withColumn("linha", F.monotonically_increasing_id()), first, "identidade")
+        starts = judged.where("antes IS NULL").withColumn("vez", F.row_number().over(place)).where("vez = 1").select(F.col("linha").alias("inicio"))
+        flagged = judged.join(starts, F.col("linha") == F.col("inicio"), "left").select(
+            *batch.columns, "chave", F.col("inicio").isNull().alias("duplicado"), F.coalesce(F.col("arrived_at") < F.col("antes"), F.lit(False)).alias("atrasado")
+        )
+        flagged.write.mode("overwrite").parquet(f"{flagged_path}/batch={batch_id}")
+        generations.merge(mine, registry_path, batch_id, fold_first, bucket, most)
+
+    return (
+        arrivals.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def fold_first(identities: DataFrame) -> DataFrame:
+    return identities.groupBy("identidade").agg(F.min("primeira").alias("primeira"))
+
+
 def outcome_stream(events: DataFrame, runs: DataFrame) -> DataFrame:
     """Terminal job events with their run's execution id and duration, each once per delivery."""
     return enrich_outcome(events.where(is_terminal(F.col("state"))), runs)

@@ -297,3 +297,20 @@ def test_volume_alerts_beside_the_ingest(spark, tmp_path):
     run(ingest.ingest_stream(spark, folder, fresh(tmp_path, "offsets"), SOURCE, layout, fresh(tmp_path, "bronze"), log, 5, CLOCK, alerts))
     (alert,) = control.read_alerts(spark, alerts).collect()
     assert "a.csv" in alert["message"] and "1 linhas" in alert["message"]
+
+
+def test_redeliveries_after_any_time_and_late_arrivals_are_told(spark, tmp_path):
+    at = lambda y, m=1: datetime(y, m, 1, tzinfo=timezone.utc)
+    arrivals = events_stream(
+        spark, tmp_path, "path string, arrived_at timestamp",
+        [("in/a.zip", at(2024)), ("in/b.zip", at(2024)), ("in/b.zip", at(2024)), (None, at(2024))], [("in/a.zip", at(2031)), ("in/c.zip", at(2024, 6))],
+        [("in/c.zip", at(2024, 2)), ("in/d.zip", at(2032))], [("in/a.zip", at(2033)), ("in/b.zip", at(2023))],
+    )
+    registry, flagged = fresh(tmp_path, "registry"), fresh(tmp_path, "flagged")
+    run(outcomes.registered_arrivals(arrivals, registry, flagged, fresh(tmp_path, "offsets"), buckets=2, most=2))
+    found = sorted((r["path"] or "", r["arrived_at"].year, r["duplicado"], r["atrasado"]) for r in spark.read.parquet(flagged).collect())
+    assert found == [
+        ("", 2024, False, False), ("in/a.zip", 2024, False, False), ("in/a.zip", 2031, True, False), ("in/a.zip", 2033, True, False),
+        ("in/b.zip", 2023, True, True), ("in/b.zip", 2024, False, False), ("in/b.zip", 2024, True, False),
+        ("in/c.zip", 2024, False, False), ("in/c.zip", 2024, True, True), ("in/d.zip", 2032, False, False),
+    ]
