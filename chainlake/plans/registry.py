@@ -963,8 +963,8 @@ def stream_checks(spark, sf_dir):
 
 
 @query(f"""
-WITH u AS (SELECT arquivo_origem, diss_id, count(*) AS n,
-    sum(CASE WHEN action IN ('NEWT', 'MODI', 'CORR', 'TERM', 'EROR', 'REVI') THEN 1 ELSE 0 END) AS dom FROM ({s.EVENT_LOG_SQL}) GROUP BY 1, 2),
+WITH u AS (SELECT {FILE_NAME_SQL} AS arquivo_origem, diss_id, count(*) AS n,
+    sum(CASE WHEN action IN ('NEWT', 'MODI', 'CORR', 'TERM', 'EROR', 'REVI') THEN 1 ELSE 0 END) AS dom FROM ({FILES_SQL}) GROUP BY 1, 2),
 m AS (SELECT arquivo_origem, sum(n) AS rows, sum(dom) / sum(n) AS dom, sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) / sum(n) AS uni FROM u GROUP BY 1),
 r AS (SELECT arquivo_origem, rows, x.regra, true AS passed, CAST(NULL AS DOUBLE) AS v FROM m, (VALUES ('ColumnExists "Dissemination Identifier"'),
     ('ColumnExists "Original Dissemination Identifier"'), ('ColumnExists "Action type"'), ('ColumnExists "Event timestamp"')) x(regra)
