@@ -133,6 +133,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class Pieces(dict):
+    """Ids of pieces, each made at its first use."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self[piece] = self.make(piece)
+        return found
+
+
 class Encoder:
     """Ids of texts, as bytes. Each distinct piece between single spaces is encoded once by the library.
 
@@ -154,7 +165,7 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.kind = {2: "H", 4: "I"}[self.width]
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Pieces(self._piece)
         self.parts: dict[str, bytes] = {}
         chain = str(self.tokenizer.pre_tokenizer)
         self.splits = (
@@ -179,21 +190,17 @@ class Encoder:
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-            found = self.parts[part] = self._bytes([t.id for t in tokens])
+            # Every ASCII letter and mark stands for itself, a space for its letter.
+            spelt = part.replace(" ", self.letters[32]) if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            found = self.parts[part] = self._bytes([t.id for t in self.model.tokenize(spelt)])
         return found
 
-    def _learn(self, new: set[str]) -> None:
-        rest, pieces, part = [], self.pieces, self._part
-        for piece in new:
-            head = piece.rstrip(_MARKS)
-            # Exactly the letters of the splitting pattern.
-            if (head[1:] if head[:1] == " " else head).isalpha():
-                pieces[piece] = part(head) if len(head) == len(piece) else part(head) + part(piece[len(head) :])
-            else:
-                rest.append(piece)
-        for piece, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            pieces[piece] = self._bytes(found.ids)
+    def _piece(self, piece: str) -> bytes:
+        head = piece.rstrip(_MARKS)
+        # Exactly the letters of the splitting pattern.
+        if (head[1:] if head[:1] == " " else head).isalpha():
+            return self._part(head) if len(head) == len(piece) else self._part(head) + self._part(piece[len(head) :])
+        return self._whole(piece)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, the end id appended."""
@@ -201,12 +208,9 @@ class Encoder:
             self.pieces.clear()
         if len(self.parts) > KNOWN_PARTS:
             self.parts.clear()
-        split = [self._pieces(t) for t in texts]
-        self._learn(set().union(*(p for p in split if p)).difference(self.pieces))
-        get = self.pieces.__getitem__
-        return [
-            (b"".join(map(get, p)) if p is not None else self._whole(t)) + self.end for t, p in zip(texts, split)
-        ]
+        get, end = self.pieces.__getitem__, self.end
+        split = map(self._pieces, texts)
+        return [(b"".join(map(get, p)) if p is not None else self._whole(t)) + end for t, p in zip(texts, split)]
 
     def _whole(self, text: str) -> bytes:
         return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
