@@ -11,6 +11,7 @@ import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BUCKET = "bucket"
 GENERATION = "generation"
@@ -49,6 +50,11 @@ def _parts(spark: SparkSession, path: str, listed: dict[str, list[int]]) -> Data
     return spark.read.option("basePath", path).parquet(*paths).drop(GENERATION)
 
 
+def bucket_numbers(rows: DataFrame, bucket: Column) -> set[int]:
+    """The buckets that rows fall into: no more of them than there are buckets."""
+    return set(rows.agg(F.collect_set(bucket)).first()[0])
+
+
 def read(spark: SparkSession, path: str, before: int | None = None, buckets: set[int] | None = None) -> DataFrame | None:
     """All parts as of the last commit, or the last `before` a batch, not folded, without their bucket; of some `buckets`, or of all. None
     where there is no such part; without any commit and without `before`, an error."""
@@ -78,8 +84,8 @@ def merge(
         # Which buckets the batch touches is known once it is read, so it is written and read back.
         rows.write.mode("overwrite").parquet(incoming)
         rows = spark.read.schema(rows.schema).parquet(incoming)
-        touched = {str(r["b"]) for r in rows.select(bucket.alias("b")).distinct().collect()}
-        due = {b: found for b, found in full.items() if b in touched}
+        touched = bucket_numbers(rows, bucket)
+        due = {b: found for b, found in full.items() if int(b) in touched}
         listed = {b: found for b, found in listed.items() if b not in due}
         if due:
             mine = bucket.isin(*map(int, due))

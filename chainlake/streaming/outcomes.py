@@ -38,8 +38,7 @@ def registered_arrivals(
         keyed = keyed_arrivals(batch, by_content)
         bucket = F.pmod(F.xxhash64("identidade"), F.lit(buckets)).cast("int")
         mine = keyed.groupBy("identidade").agg(F.min("arrived_at").alias("primeira"))
-        touched = {r["b"] for r in mine.select(bucket.alias("b")).distinct().collect()}
-        known = generations.read(spark, registry_path, batch_id, touched)
+        known = generations.read(spark, registry_path, batch_id, generations.bucket_numbers(mine, bucket))
         if known is None:
             known = mine.where("false")
         first = fold_first(known).withColumnRenamed("primeira", "antes")
