@@ -30,10 +30,10 @@ def tuned(spark: SparkSession) -> SparkSession:
     return configured(spark)
 
 
-def saved(df: DataFrame, purpose: str) -> DataFrame:
+def saved(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """`df` written once to the shared folder and read from there: its lineage ends, and its size is known."""
     path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     found.saved_at = path
     return found

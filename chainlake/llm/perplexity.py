@@ -1,23 +1,30 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model reads characters in `K` classes (letters folded to their base, capitals, digits, marks, ...), in runs of
-`ORDER`. Counts, contexts, continuation counts and the lower orders are tables joined on their shared runs, sharded by
-Spark. As classes and order are fixed, the whole model has at most K^ORDER entries (11 MB), whatever it was trained on:
-that bound is what makes scoring by lookup, not by a join of all documents' runs, possible.
+The model reads whole characters, every code point as itself, in runs of `ORDER`. Counts, contexts, continuation counts and the lower
+orders are tables keyed by the runs' text, sharded by Spark; they grow with the corpus and are never collected. Documents are dealt into
+chunks. The distinct runs of a chunk are joined with the tables, and the task that scores the chunk reads back what they cost: so a run that
+many documents of a chunk have is shuffled once, and the texts not at all.
+
+At a text's start a run is shorter, as there is nothing before it: a run of less than n characters of order n is one of a start.
 """
 
 from __future__ import annotations
 
-import unicodedata
-
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.dataset as ds
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainlake.llm.common import arrow_step, saved, tuned, values
+from chainlake.llm.common import arrow_step, drop, saved, tuned, values
+from chainlake.session import work_folder
+from chainlake.sources.store import open_store
 
 ORDER = 4
-K = 41
+# Every code point, and the start of a text (0).
+K = 0x110001
 # A document is rejected above this quantile of its language's trusted documents, plus MARGIN in nats a character.
 QUANTILE = 0.99
 MARGIN = 0.12
@@ -27,90 +34,141 @@ PRIOR_CHARS = 60
 FEW = 30
 # Quantiles are of a mergeable summary of this accuracy.
 ACCURACY = 10_000
-
-# Classes beside a-z (1 to 26) and the start of a text (0).
-_UPPER, _DIGIT, _SPACE, _LINE, _STOP, _COMMA, _BANG, _ASK, _DASH, _QUOTE, _MARK, _BAR, _LETTER, _FAR = range(27, 41)
-_table: np.ndarray | None = None
-
-
-def _class_of(point: int) -> int:
-    char = chr(point)
-    base = unicodedata.normalize("NFD", char)[0]
-    if "a" <= base <= "z":
-        return ord(base) - 96
-    for known, kind in (("\n", _LINE), (".", _STOP), (",", _COMMA), ("!", _BANG), ("?", _ASK), ("|", _BAR)):
-        if base == known:
-            return kind
-    if base.isupper():
-        return _UPPER
-    if base.isdigit():
-        return _DIGIT
-    if base.isspace():
-        return _SPACE
-    if base in ";:-":
-        return _DASH
-    if base in "\"'()[]{}":
-        return _QUOTE
-    return _LETTER if base.isalpha() else _MARK
+# A chunk has at most 2^CHUNK_BITS documents. A task reads PIECE bytes of text at once, or one longer text, and sends what it counted when it
+# holds more than MANY runs; results depend on none of these.
+CHUNK_BITS = 13
+PIECE = 500_000
+MANY = 1_000_000
 
 
 def runs(text: str, order: int = ORDER) -> np.ndarray:
-    """The number of each run of `order` classes that ends at a character; a text starts with zeros."""
-    global _table
-    if _table is None:
-        _table = np.full(0x110000, _FAR, dtype=np.int32)
-        _table[:0x3000] = [_class_of(p) for p in range(0x3000)]
-    codes = np.concatenate([np.zeros(order - 1, dtype=np.int32), _table[np.frombuffer(text.encode("utf-32-le"), dtype="<u4")]])
-    n = len(codes) - order + 1
-    number = np.zeros(n, dtype=np.int32)
-    for i in range(order):
-        number = number * K + codes[i : i + n]
-    return number
+    """The number, in base K, of each run of `order` characters that ends at a character; a text starts with zeros."""
+    codes = [0] * (order - 1) + [ord(c) + 1 for c in text]
+    numbers = [sum(c * K ** (order - 1 - i) for i, c in enumerate(codes[at : at + order])) for at in range(len(text))]
+    return np.array(numbers, dtype=object)
+
+
+def distinct_runs(texts: list[str], order: int = ORDER) -> tuple[list[str], np.ndarray]:
+    """(runs, at): the distinct runs that end at characters of the texts, and for each character of all texts the place of its run."""
+    joined = "".join(texts)
+    points = np.frombuffer(joined.encode("utf-32-le"), dtype="<u4")
+    if not len(points):
+        return [], np.empty(0, dtype=np.int64)
+    lengths = np.array([len(t) for t in texts])
+    since = np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    # Characters are numbered among those that occur, so that a run of few kinds of them fits a number; longer ones are numbered anew between.
+    present = np.zeros(K, dtype=bool)
+    present[points] = True
+    codes = np.cumsum(present)[points]
+    base = int(present.sum()) + 1
+    number, bound = codes.copy(), base
+    for i in range(1, order):
+        if bound * base >= 1 << 63:
+            number = np.unique(number, return_inverse=True)[1]
+            bound = int(number.max()) + 1
+        before = np.zeros_like(codes)
+        before[i:] = codes[:-i]
+        before[since < i] = 0
+        number += before * bound
+        bound *= base
+    _, first, at = np.unique(number, return_index=True, return_inverse=True)
+    starts = first - np.minimum(since[first], order - 1)
+    return [joined[a : b + 1] for a, b in zip(starts.tolist(), first.tolist())], at
+
+
+def saved_by_chunk(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written once with a folder for each chunk, which holds no more than its documents or their runs."""
+    path = work_folder(df.sparkSession, purpose)
+    df.repartition("chunk").write.partitionBy("chunk").parquet(path)
+    # Only the path is used: tasks read their chunk's folder.
+    df.saved_at = path
+    return df
+
+
+def of_chunk(folder: str, chunk: int, *columns: str) -> list[list]:
+    """Columns of one chunk of a table of `saved_by_chunk`; empty where it has no rows."""
+    store, inner = open_store(f"{folder}/chunk={chunk}")
+    if store.get_file_info(inner).type == fs.FileType.NotFound:
+        return [[] for _ in columns]
+    table = ds.dataset(inner, filesystem=store, format="parquet").to_table(columns=list(columns))
+    return [table.column(c).to_pylist() for c in columns]
+
+
+def _chunks(batch: pa.RecordBatch):
+    """(chunk, rows) of stretches of a batch, each of one chunk and of about PIECE bytes of text."""
+    chunk = batch.column(batch.schema.get_field_index("chunk")).to_numpy()
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(sizes, dtype=np.int64) // PIECE
+    cuts = [0, *(np.flatnonzero((np.diff(chunk) != 0) | (np.diff(piece) != 0)) + 1).tolist(), len(chunk)]
+    for start, stop in zip(cuts, cuts[1:]):
+        if stop > start:
+            yield int(chunk[start]), batch.slice(start, stop - start)
+
+
+def chunk_runs(texts: DataFrame, trusted: str | None = None, order: int = ORDER) -> DataFrame:
+    """(chunk, run, n): the distinct runs of each chunk of `texts` (id, text, chunk), and how often each occurs in trusted texts, 0 included.
+
+    `trusted` is the folder of the trusted ids by chunk; None trusts all. A chunk that several tasks read has a run more than once.
+    """
 
+    def step(batches):
+        chunk, known, counted = None, set(), {}
 
-def count_runs(texts: DataFrame, text_column: str = "text") -> DataFrame:
-    """(run, n): how often each run occurs in all texts. Each task sends what it has counted, not what it has read."""
+        def found():
+            return {"chunk": [chunk] * len(counted), "run": list(counted), "n": list(counted.values())}
 
-    def step(batches):
-        total = np.zeros(K**ORDER, dtype=np.int64)
         for batch in batches:
-            for text in values(batch, "text"):
-                if text:
-                    found = runs(text)
-                    if len(found) > 20_000:
-                        total += np.bincount(found, minlength=K**ORDER)
-                    else:
-                        np.add.at(total, found, 1)
-        seen = np.flatnonzero(total)
-        for at in range(0, len(seen), 100_000):
-            part = seen[at : at + 100_000]
-            yield {"run": part, "n": total[part]}
-
-    parts = arrow_step(texts.select(F.col(text_column).cast("string").alias("text")), step, "run long, n long")
-    return parts.groupBy("run").agg(F.sum("n").alias("n"))
+            for now, rows in _chunks(batch):
+                if now != chunk or len(counted) > MANY:
+                    if counted:
+                        yield found()
+                    counted = {}
+                if now != chunk:
+                    chunk, known = now, set(of_chunk(trusted, now, "id")[0]) if trusted else set()
+                read = [(i, t) for i, t in zip(values(rows, "id"), values(rows, "text")) if t]
+                seen, at = distinct_runs([t for _, t in read], order)
+                own = np.repeat([trusted is None or i in known for i, _ in read], [len(t) for _, t in read]).astype(bool)
+                for run, n in zip(seen, np.bincount(at[own], minlength=len(seen)).tolist()):
+                    counted[run] = counted.get(run, 0) + n
+        if counted:
+            yield found()
+
+    return arrow_step(texts.select("id", "text", "chunk"), step, "chunk long, run string, n long")
+
+
+def count_runs(texts: DataFrame, text_column: str = "text") -> DataFrame:
+    """(run, n): how often each run occurs in all texts. Each task sends what it has counted, not what it has read."""
+    source = texts.select(F.lit(None).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"), F.lit(0).cast("long").alias("chunk"))
+    return chunk_runs(source).groupBy("run").agg(F.sum("n").alias("n"))
 
 
 def model_tables(counts: DataFrame, order: int = ORDER) -> dict[int, DataFrame]:
-    """For each order: (run, context, suffix, p, weight). p is the interpolated probability of the run's last class after
+    """For each order: (run, context, suffix, p, weight). p is the interpolated probability of the run's last character after
     its context; weight is what the context leaves to the next lower order.
 
     The highest order takes counts, the lower ones in how many ways a run continues to the left. Discounts come from
-    the counts of counts, for once, twice and oftener; where these are too few, half a count.
+    the counts of counts, for once, twice and oftener; where these are too few, half a count. Runs counted 0 times are asked for only:
+    they change no other run's probability.
     """
     level = {order: counts}
     for n in range(order - 1, 0, -1):
-        level[n] = level[n + 1].groupBy((F.col("run") % K**n).alias("run")).agg(F.count("*").alias("n"))
+        shorter = level[n + 1].select(F.right("run", F.lit(n)).alias("run"), (F.col("n") > 0).cast("long").alias("n"))
+        level[n] = shorter.groupBy("run").agg(F.sum("n").alias("n"))
     tables: dict[int, DataFrame] = {}
     for n in range(1, order + 1):
         of = F.when(F.col("n") >= 3, 3).otherwise(F.col("n")).cast("int")
-        kinds = {r["kind"]: r["c"] for r in level[n].where("n <= 4").groupBy(F.col("n").alias("kind")).agg(F.count("*").alias("c")).collect()}
+        kinds = {r["kind"]: r["c"] for r in level[n].where("n BETWEEN 1 AND 4").groupBy(F.col("n").alias("kind")).agg(F.count("*").alias("c")).collect()}
         discount = discounts([kinds.get(i, 0) for i in (1, 2, 3, 4)])
-        cut = F.element_at(F.array(*map(F.lit, discount)), of)
-        runs_n = level[n].select("run", F.floor(F.col("run") / K).alias("context"), "n", cut.alias("cut"))
-        contexts = runs_n.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("left"))
-        joined = runs_n.join(contexts, "context").select(
-            "run", "context", (F.col("run") % K ** (n - 1)).alias("suffix"),
-            ((F.col("n") - F.col("cut")) / F.col("total")).alias("own"), (F.col("left") / F.col("total")).alias("weight"),
+        cut = F.when(F.col("n") > 0, F.element_at(F.array(*map(F.lit, discount)), of)).otherwise(0.0)
+        runs_n = level[n].select(
+            "run", F.expr("left(run, length(run) - 1)").alias("context"), F.right("run", F.lit(n - 1)).alias("suffix"), "n", cut.alias("cut")
+        )
+        contexts = runs_n.where("n > 0").groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("left"))
+        # A context that no trusted text has leaves all to the lower order.
+        joined = runs_n.join(contexts, "context", "left").select(
+            "run", "context", "suffix",
+            F.coalesce((F.col("n") - F.col("cut")) / F.col("total"), F.lit(0.0)).alias("own"),
+            F.coalesce(F.col("left") / F.col("total"), F.lit(1.0)).alias("weight"),
         )
         if n == 1:
             below = joined.withColumn("below", F.lit(1.0 / K))
@@ -134,39 +192,56 @@ def discounts(kinds: list[int]) -> list[float]:
     return [min(max(d, 0.05), i - 0.05) for i, d in zip((1, 2, 3), found)]
 
 
-def dense(tables: dict[int, DataFrame], order: int = ORDER) -> np.ndarray:
-    """Negative log-probability of every possible run, from the tables: unseen runs fall back as their contexts say.
+class Lookup:
+    """Negative log-probabilities of any runs, by their numbers as of `runs`."""
+
+    def __init__(self, p: list[dict[str, float]], weight: list[dict[str, float]]):
+        self.p, self.weight = p, weight
+
+    def of(self, run: str, n: int) -> float:
+        if not n:
+            return 1.0 / K
+        known = self.p[n - 1].get(run)
+        # Unseen runs fall back as their contexts say.
+        return known if known is not None else self.weight[n - 1].get(run[:-1], 1.0) * self.of(run[-(n - 1) :] if n > 1 else "", n - 1)
+
+    def __getitem__(self, numbers: np.ndarray) -> np.ndarray:
+        found = []
+        for number in numbers:
+            run = ""
+            while number:
+                number, code = divmod(number, K)
+                run = chr(code - 1) + run
+            found.append(-np.log(self.of(run, len(self.p))))
+        return np.array(found)
 
-    The driver gets at most K^n rows of each order.
+
+def dense(tables: dict[int, DataFrame], order: int = ORDER) -> Lookup:
+    """The model on the driver, to look into small ones; documents are scored by joins (`scored`), not by this."""
+    rows = [tables[n].select("run", "context", "p", "weight").collect() for n in range(1, order + 1)]
+    return Lookup([{r["run"]: r["p"] for r in level} for level in rows], [{r["context"]: r["weight"] for r in level} for level in rows])
+
+
+def surprise(texts: DataFrame, costs: str, order: int = ORDER) -> DataFrame:
+    """(id, lang, chars, nats) of each row of `texts` (id, text, lang, chunk): the model's total surprise at it.
+
+    `costs` is the folder of what the runs of each chunk cost.
     """
-    p = np.full(K, 1.0 / K)
-    for n in range(1, order + 1):
-        rows = tables[n].select("run", "context", "p", "weight").toArrow()
-        run, context = rows.column("run").to_numpy(), rows.column("context").to_numpy()
-        weight = np.ones(K ** (n - 1))
-        weight[context] = rows.column("weight").to_numpy()
-        below = p if n > 1 else np.full(1, 1.0 / K)
-        # Every run's fallback: its context's weight times the lower order's probability of its suffix.
-        full = np.repeat(weight, K) * (np.tile(below, K) if n > 1 else np.full(K, 1.0 / K))
-        full[run] = rows.column("p").to_numpy()
-        p = full
-    return -np.log(p).astype(np.float32)
-
-
-def surprise(docs: DataFrame, costs: np.ndarray) -> DataFrame:
-    """(id, lang, row, chars, nats): the model's total surprise at each text."""
-    shared = docs.sparkSession.sparkContext.broadcast(costs)
 
     def step(batches):
+        chunk, known = None, {}
         for batch in batches:
-            found = [runs(t) if t else None for t in values(batch, "text")]
-            yield {
-                "id": values(batch, "id"), "lang": values(batch, "lang"),
-                "chars": [0 if r is None else len(r) for r in found],
-                "nats": [0.0 if r is None else float(shared.value[r].sum(dtype=np.float64)) for r in found],
-            }
+            for now, rows in _chunks(batch):
+                if now != chunk:
+                    chunk, known = now, dict(zip(*of_chunk(costs, now, "run", "nats")))
+                read = [t or "" for t in values(rows, "text")]
+                seen, at = distinct_runs(read, order)
+                lengths = [len(t) for t in read]
+                cost = np.array([known[run] for run in seen], dtype=np.float64)
+                nats = np.bincount(np.repeat(np.arange(len(read)), lengths), weights=cost[at], minlength=len(read))
+                yield {"id": values(rows, "id"), "lang": values(rows, "lang"), "chars": lengths, "nats": nats}
 
-    return arrow_step(docs, step, "id long, lang string, chars long, nats double")
+    return arrow_step(texts.select("id", "text", "lang", "chunk"), step, "id long, lang string, chars long, nats double")
 
 
 def scored(
@@ -187,10 +262,18 @@ def scored(
         F.coalesce(F.col(lang_column).cast("string"), F.lit("")).alias("lang"),
     )
     good = saved(labels.where(trusted).select(F.col("doc_id").cast("long").alias("id")).distinct(), "trusted")
+    # Stored with its chunk, so that both passes over the texts agree on it.
+    texts = saved(source.withColumn("chunk", F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS)), "chunked", compression="zstd")
     # Asked for by name: few trusted ids could be broadcast, but there are as many as trusted texts, so the plan that
     # holds at any size is taken at every size.
-    counts = saved(count_runs(source.join(good.hint("merge"), "id", "left_semi")), "runs")
-    measured = saved(surprise(source, dense(model_tables(counts))), "surprise")
+    ours = saved_by_chunk(texts.select("chunk", "id").join(good.hint("merge"), "id", "left_semi").distinct(), "trusted-ids")
+    asked = saved(chunk_runs(texts, ours.saved_at), "runs")
+    tables = model_tables(saved(asked.groupBy("run").agg(F.sum("n").alias("n")), "counts"))
+    nats = tables[ORDER].select("run", (-F.log("p")).alias("nats"))
+    costs = saved_by_chunk(asked.select("chunk", "run").join(nats.hint("merge"), "run"), "costs")
+    drop(ours, asked, *tables.values())
+    measured = saved(surprise(texts, costs.saved_at), "surprise")
+    drop(texts, costs)
 
     trained = measured.join(good, "id", "left_semi").where("chars > 0")
     overall = trained.agg(F.sum("nats") / F.sum("chars")).first()[0]

@@ -1,6 +1,7 @@
 """Each operator's query against its plain version, over whole test tables."""
 
 import gzip
+import math
 import random
 import re
 import string
@@ -438,6 +439,43 @@ def test_a_language_with_few_trusted_texts_is_not_judged_by_others(spark):
     assert perplexity.kept_rows(docs, labels).count() == len(rows) - 1
 
 
+def test_scores_equal_a_plain_model_of_whole_characters(spark):
+    rng = random.Random(5)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randrange(1, 7)))
+    prose = lambda letters: " ".join(word(letters) for _ in range(30))
+    rows = [(i, prose("aBéñ." if i % 2 else "天地玄黄宇宙😀"), "x") for i in range(40)] + [(40, None, "x"), (41, "", "x"), (None, prose("ab"), "x"), (3, "aB" * 9, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 30)], "doc_id long, quality int")
+    trusted = [t for i, t, _ in rows if t and i is not None and i < 30]
+    code = lambda t: [ord(c) + 1 for c in t]
+    p = plain.kneser_ney([code(t) for t in trusted], perplexity.ORDER, perplexity.K, perplexity.discounts)
+    nats = {t: plain.surprise(p, code(t), perplexity.ORDER) for _, t, _ in rows if t}
+    mean = sum(nats[t] for t in trusted) / sum(map(len, trusted))
+    expected = sorted(
+        (i or -1, len(t or ""), round((nats[t] + perplexity.PRIOR_CHARS * mean) / (len(t) + perplexity.PRIOR_CHARS), 6) if t else None) for i, t, _ in rows
+    )
+    found = perplexity.scored(docs, labels).collect()
+    assert sorted((r["doc_id"] or -1, r["n_chars"], r["perplexity"] and round(math.log(r["perplexity"]), 6)) for r in found) == expected
+
+
+def test_texts_of_far_characters_are_told_apart(spark):
+    rng = random.Random(6)
+    known, other = ["的一", "是不", "了人我", "在有", "他"], ["龘靐", "齉齾", "爩鱻麤", "灪龖", "厵"]
+    prose = lambda words: "".join(rng.choice(words) for _ in range(100))
+    rows = [(i, prose(known), "zh") for i in range(40)] + [(100, prose(other), "zh")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(30)], "doc_id long, quality int")
+    assert [r["doc_id"] for r in perplexity.scored(docs, labels).collect() if not r["kept"]] == [100]
+
+
+def test_runs_of_many_kinds_of_characters():
+    rng = random.Random(7)
+    texts_ = ["", "ab", *("".join(chr(rng.randrange(0x4E00, 0xD800)) for _ in range(30_000)) for _ in range(3)), "ab"]
+    seen, at = perplexity.distinct_runs(texts_, 6)
+    wanted = [t[max(0, i - 5) : i + 1] for t in texts_ for i in range(len(t))]
+    assert [seen[i] for i in at] == wanted and len(set(seen)) == len(seen)
+
+
 # ======== 8 ========
 
 
