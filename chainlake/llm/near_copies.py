@@ -7,7 +7,7 @@ from a prefix filter, which misses none.
 Put all shingles in one order, whichever. Of a text's n distinct shingles at least similarity * n are shared with any text that
 resembles it, so the first one shared stands among its first n - ceil(similarity * n) + 1, and likewise in the other text. These
 first shingles are the buckets; no pair that resembles is without a common one. The order is that of the shingles' hashes,
-except that shingles frequent in a sample come last, so that lines which many texts carry are no bucket of theirs.
+except that frequent shingles come last, so that lines which many texts carry are no bucket of theirs.
 
 Members of a small bucket that are not joined yet are compared pair by pair. Those of a large one are first held against its most central
 members, an original before its edits, which joins groups of copies in linear time. Whatever pairs of a large bucket are then not
@@ -37,10 +37,11 @@ SMALL = 32
 LEADERS = 2
 # Bits of a signature, the least and the most; between, there are two to four for each shingle. More tell texts apart, none loses a pair.
 SIGNATURE = (1024, 1 << 17)
-# A shingle is frequent from this share of SAMPLED documents on, and from LEAST documents; any choice gives the same result.
-SAMPLED = 20_000
+# A shingle is frequent from this share of all documents on, and from LEAST documents; any choice gives the same result.
 FREQUENT = 0.001
 LEAST = 20
+# Shingles are counted in blocks of so many, or of one longer text.
+BLOCK = 2_000_000
 # Shingles of a bucket's leaders are kept for so many texts of a batch.
 CACHED_TEXTS = 64
 
@@ -51,21 +52,38 @@ def shingles(hashed: np.ndarray, k: int = SHINGLE) -> np.ndarray:
 
 
 def frequent_shingles(source: DataFrame, shingle: int = SHINGLE) -> np.ndarray:
-    """Hashes of shingles frequent in a sample of `source` (id, text), sorted. At most the sample's shingles by LEAST reach the driver."""
+    """Hashes of frequent shingles of `source` (id, text), sorted: all that at least FREQUENT of all documents, and LEAST, have, and none that less
+    than half as many have.
+
+    All documents are counted, in blocks. A block sends the shingles that half of FREQUENT of its own documents have; what it does not send is
+    over all blocks less than half of what is asked for. So at most the shingles of all texts by half of LEAST reach the driver.
+    """
+    rows = source.count()
+    least = max(LEAST, FREQUENT * rows)
+    part = least / 2 / max(1, rows)
 
     def step(batches):
-        cached = WordHashes()
+        cached, block, held = WordHashes(), [], 0
+
+        def often():
+            found, n = np.unique(np.concatenate(block), return_counts=True)
+            sent = n >= part * len(block)
+            return {"shingle": found[sent].view(np.int64), "n": n[sent]}
+
         for batch in batches:
             for text in raw_texts(batch, "text"):
                 if text:
-                    yield {"shingle": shingles(cached.of(text.translate(LOWER).split()), shingle).view(np.int64)}
-
-    rows = source.count()
-    share = min(1.0, SAMPLED / max(1, rows))
-    sample = source.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < round(1_000_000 * share)).select("text")
-    counts = arrow_step(sample, step, "shingle long").groupBy("shingle").count()
-    often = counts.where(F.col("count") >= max(LEAST, FREQUENT * rows * share)).select("shingle").toArrow()
-    return np.sort(often.column("shingle").to_numpy().view(np.uint64))
+                    block.append(shingles(cached.of(text.translate(LOWER).split()), shingle))
+                    held += len(block[-1])
+                    if held >= BLOCK:
+                        yield often()
+                        block, held = [], 0
+        if block:
+            yield often()
+
+    counts = arrow_step(source.select("text"), step, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= least / 2).select("shingle").toArrow()
+    return np.sort(found.column("shingle").to_numpy().view(np.uint64))
 
 
 def common_order(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:

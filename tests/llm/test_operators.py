@@ -398,6 +398,27 @@ def test_mixture_to_given_targets(spark, sf_check):
         mixing.mixture(docs, targets_by={"lang": by_lang.where("lang = 'no such language'")})
 
 
+def test_frequent_shingles_are_counted_over_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "BLOCK", 50)
+    monkeypatch.setattr(near_copies, "LEAST", 8)
+    line = "one line that many have"
+    # Of 400 texts 8 have the line, 3 another; a block holds some ten texts.
+    rows = [(i, f"{line} {i} a{i} b{i}" if i % 50 == 7 else f"c{i} d{i} e{i} f{i} g{i} h{i}" + (" a line that few have" if i % 150 == 9 else "")) for i in range(400)]
+    source = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    wanted = near_copies.shingles(WordHashes().of(line.encode().split()))
+    assert near_copies.frequent_shingles(source).tolist() == wanted.tolist()
+    assert near_copies.frequent_shingles(source.where("false")).tolist() == []
+
+
+def test_shingles_are_frequent_whichever_documents_have_them(spark):
+    line = "one line that many have"
+    # Sixty of 40,000 texts have the line, none of them among those that a sample by half of the ids' hashes would see.
+    last = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) >= 500_000
+    ids = spark.range(40_000).where(last).orderBy("id").limit(60).withColumn("text", F.concat(F.lit(line + " "), "id"))
+    source = spark.range(40_000).join(ids, "id", "left").withColumn("text", F.coalesce("text", F.concat(F.lit("w"), "id")))
+    assert near_copies.shingles(WordHashes().of(line.encode().split()))[0] in near_copies.frequent_shingles(source)
+
+
 # ======== 7 ========
 
 
