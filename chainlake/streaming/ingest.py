@@ -37,6 +37,10 @@ from chainlake.sources.csv_events import MARK, Layout, aligned, csv_options, rec
 
 log = logging.getLogger(__name__)
 
+# Files of a micro-batch, at most; and the micro-batches that a backlog comes in while that leaves them smaller.
+MOST_FILES = 1000
+BATCHES = 8
+
 
 def stream_events(
     spark: SparkSession, path: str, layout: Layout, files_per_trigger: int | None = None
@@ -51,6 +55,16 @@ def stream_events(
     return with_ingest_time(aligned(records(reader.csv(path)), layout.columns, layout.width, marks=True))
 
 
+def backlog_limit(spark: SparkSession, path: str, least: int) -> int:
+    """Files per trigger for the files now below `path`: `least` for few, a share of a larger backlog, MOST_FILES at most.
+
+    A micro-batch has a cost of its own, beside its rows', so their number must not grow with the files while these fit into larger ones.
+    """
+    # The listing's content column is not selected, so no file is read for it.
+    files = spark.read.format("binaryFile").load(path).select("path").count()
+    return min(MOST_FILES, max(least, -(-files // BATCHES)))
+
+
 def process_batch(
     contract: Contract,
     bronze_path: str,
@@ -140,7 +154,7 @@ def ingest_stream(
     layout: Layout,
     bronze_path: str,
     control_path: str | None = None,
-    files_per_trigger: int | None = 1000,
+    files_per_trigger: int | None = MOST_FILES,
     clock: Callable[[], datetime] | None = None,
     alerts_path: str | None = None,
 ) -> StreamingQuery:

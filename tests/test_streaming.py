@@ -314,3 +314,12 @@ def test_redeliveries_after_any_time_and_late_arrivals_are_told(spark, tmp_path)
         ("in/b.zip", 2023, True, True), ("in/b.zip", 2024, False, False), ("in/b.zip", 2024, True, False),
         ("in/c.zip", 2024, False, False), ("in/c.zip", 2024, True, True), ("in/d.zip", 2032, False, False),
     ]
+
+
+def test_a_backlog_comes_in_a_bounded_number_of_batches(spark, tmp_path, monkeypatch):
+    for i in range(20):
+        (tmp_path / f"F{i}.csv").write_text("a\n1\n")
+    assert ingest.backlog_limit(spark, str(tmp_path), least=8) == 8
+    assert ingest.backlog_limit(spark, str(tmp_path), least=2) == 3
+    monkeypatch.setattr(ingest, "MOST_FILES", 2)
+    assert ingest.backlog_limit(spark, str(tmp_path), least=1) == 2
